@@ -137,3 +137,12 @@ def salted_join(big: DataFrame, per_key: DataFrame, keys, how: str = "inner", sa
     spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     copies = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(copies, [*keys, "__salt"], how).drop("__salt")
+
+
+def once(df: DataFrame, name: str, x: Column) -> DataFrame:
+    """Add a column whose expression is worked out once per row.
+
+    The optimiser copies a plain column's expression into every later use of it,
+    filters included; it leaves the output of a generator alone.
+    """
+    return df.select("*", F.explode(F.array(x)).alias(name))
