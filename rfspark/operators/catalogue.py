@@ -56,6 +56,8 @@ def follow_links(nodes: DataFrame, roots: DataFrame) -> DataFrame:
         seen, span = count, span * 2
         second = jumps.select("file", F.col("at").alias("to"), F.col("to").alias("end"))
         jumps = cut(jumps.join(second, ["file", "to"]).select("file", "at", F.col("end").alias("to")), "jumps")
+        if jumps.isEmpty():
+            return reach
 
 
 LINKS = {
