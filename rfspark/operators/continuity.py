@@ -72,20 +72,20 @@ def with_predecessor(packets: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
     forgets the previous end, and ``after_loss`` marks the packet that follows.
     """
     timeline = packets.filter(F.col("payload").isin("iq", "lost"))
-    before = F.struct("payload", "connection_id", "start_time", "end_time", "center_hz", "rate_hz")
-    geometry = F.when(
-        (F.col("payload") == "iq") & (F.col("rate_hz") > 0), F.struct("center_hz", "rate_hz")
-    )
+    fields = {n: F.col(n) for n in ("connection_id", "start_time", "end_time")}
+    before = {"lost": F.col("payload") == "lost", **fields}
+    tuned = (F.col("payload") == "iq") & (F.col("rate_hz") > 0)
+    geometry = {n: F.col(n) for n in ("center_hz", "rate_hz")}
     rows = ordered_scan(
         timeline,
         "stream_id",
         "seq",
-        {"__prev": previous(before), "__geo": latest_before(geometry)},
+        {"__prev": previous(before), "__geo": latest_before(geometry, tuned)},
         block,
     ).filter(F.col("payload") == "iq")
     prev = F.col("__prev")
     first = prev.isNull()
-    reset = (prev["payload"] == "lost") | (prev["connection_id"] != F.col("connection_id"))
+    reset = prev["lost"] | (prev["connection_id"] != F.col("connection_id"))
     linked = ~first & ~reset
     mine = _duration(F.col("start_time"), F.col("end_time"))
     theirs = F.when(linked, _duration(prev["start_time"], prev["end_time"]))
@@ -455,7 +455,7 @@ def stalls(packets: DataFrame, seconds: float = STALL_S, ticks: float = 1.0, blo
         packets,
         "stream_id",
         "seq",
-        {"__prev": previous(F.struct("connection_id", "start_time"))},
+        {"__prev": previous({n: F.col(n) for n in ("connection_id", "start_time")})},
         block,
     )
     silent = F.col("start_time") - F.col("__prev.start_time")
@@ -484,8 +484,9 @@ def trim_settle(blocks: DataFrame, seconds: float = SETTLE_S) -> DataFrame:
 def with_epoch_first(numbered: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
     """Carry each run's first sample, and whether a retune opened it, to its packets."""
     opens = is_gap() | F.col("geometry_change").isNotNull()
-    start = F.when(opens, F.struct("first_sample", (F.coalesce(F.col("geometry_change") == "retune", F.lit(False))).alias("retune")))
-    rows = ordered_scan(numbered, "stream_id", "seq", {"__open": latest(start)}, block)
+    retune = F.coalesce(F.col("geometry_change") == "retune", F.lit(False))
+    start = latest({"first_sample": F.col("first_sample"), "retune": retune}, F.coalesce(opens, F.lit(False)))
+    rows = ordered_scan(numbered, "stream_id", "seq", {"__open": start}, block)
     return rows.withColumns(
         {"epoch_first": F.col("__open.first_sample"), "after_retune": F.col("__open.retune")}
     ).drop("__open")

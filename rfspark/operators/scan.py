@@ -20,32 +20,36 @@ BLOCK = "__block"
 
 def total(x: Column):
     """Running sum up to and with this row."""
-    return ("total", x)
+    return ("total", x, None)
 
 
 def total_before(x: Column):
     """Running sum of the rows ahead of this one."""
-    return ("total_before", x)
+    return ("total_before", x, None)
 
 
 def peak(x: Column):
     """Running maximum up to and with this row."""
-    return ("peak", x)
+    return ("peak", x, None)
 
 
-def latest(x: Column):
-    """Last non-null value up to and with this row."""
-    return ("latest", x)
+def latest(x, present: Column | None = None):
+    """Last value up to and with this row, of the rows that have one.
+
+    ``x`` is a column, or a dict of columns that comes back as a struct;
+    ``present`` says which rows have one (for a column, where it is not null).
+    """
+    return ("latest", x, x.isNotNull() if present is None else present)
 
 
-def latest_before(x: Column):
-    """Last non-null value ahead of this row."""
-    return ("latest_before", x)
+def latest_before(x, present: Column | None = None):
+    """Last value ahead of this row, of the rows that have one."""
+    return ("latest_before", x, x.isNotNull() if present is None else present)
 
 
-def previous(x: Column):
-    """The value on the row just ahead, null included."""
-    return ("previous", x)
+def previous(x):
+    """The value, or dict of values, on the row just ahead, null included."""
+    return ("previous", x, None)
 
 
 def block_start(order: Column, block) -> Column:
@@ -62,68 +66,76 @@ def ordered_scan(df: DataFrame, keys, order, scans: dict, block=DEFAULT_BLOCK) -
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
-    kinds = {name: kind for name, (kind, _) in scans.items()}
-    source = df.withColumns({f"__x_{name}": x for name, (_, x) in scans.items()})
+    specs, inputs = {}, {}
+    for name, (kind, x, present) in scans.items():
+        fields = x if isinstance(x, dict) else {"v": x}
+        specs[name] = (kind, list(fields), isinstance(x, dict))
+        inputs |= {f"__x_{name}_{f}": c for f, c in fields.items()}
+        if present is not None:
+            inputs[f"__has_{name}"] = present
+    source = df.withColumns(inputs)
     if block is None:
-        return _within(source, keys, order, kinds, carried=False).drop(*[f"__x_{n}" for n in kinds])
+        return _within(source, keys, order, specs, carried=False).drop(*inputs)
 
     source = source.withColumn(BLOCK, block_start(F.col(order[0]), block))
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    summary = source.groupBy(*keys, BLOCK).agg(*[_summary(n, k, at) for n, k in kinds.items()])
+    summary = source.groupBy(*keys, BLOCK).agg(*[c for n, s in specs.items() for c in _summary(n, s, at)])
     earlier = Window.partitionBy(*keys).orderBy(BLOCK)
-    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(
-        *keys, BLOCK, *[_carry(n, k, earlier, before).alias(f"__c_{n}") for n, k in kinds.items()]
-    )
+    carry = summary.select(*keys, BLOCK, *[_carry(n, s, earlier).alias(f"__c_{n}") for n, s in specs.items()])
     joined = source.join(carry, [*keys, BLOCK])
-    extra = [f"__x_{n}" for n in kinds] + [f"__c_{n}" for n in kinds] + [BLOCK]
-    return _within(joined, [*keys, BLOCK], order, kinds, carried=True).drop(*extra)
+    rows = _within(joined, [*keys, BLOCK], order, specs, carried=True)
+    return rows.drop(*inputs, *[f"__c_{n}" for n in specs], BLOCK)
 
 
-def _summary(name, kind, at) -> Column:
-    x = F.col(f"__x_{name}")
+def _summary(name, spec, at) -> list:
+    """Aggregates of one block. Fields are kept apart, so that numbers stay in a hash aggregate."""
+    kind, fields, _ = spec
     if kind in ("total", "total_before"):
-        out = F.sum(x)
-    elif kind == "peak":
-        out = F.max(x)
-    elif kind in ("latest", "latest_before"):
-        out = F.max_by(x, F.when(x.isNotNull(), at))
-    else:
-        out = F.max_by(F.struct(x.alias("v")), at)
-    return out.alias(f"__s_{name}")
-
-
-def _carry(name, kind, earlier, before) -> Column:
-    s = F.col(f"__s_{name}")
+        return [F.sum(f"__x_{name}_v").alias(f"__s_{name}")]
+    if kind == "peak":
+        return [F.max(f"__x_{name}_v").alias(f"__s_{name}")]
+    if kind == "previous":
+        return [F.max_by(f"__x_{name}_{f}", at).alias(f"__s_{name}_{f}") for f in fields]
+    has = F.col(f"__has_{name}")
+    last = [F.max_by(f"__x_{name}_{f}", F.when(has, at)).alias(f"__s_{name}_{f}") for f in fields]
+    return [*last, F.bool_or(has).alias(f"__s_{name}")]
+
+
+def _carry(name, spec, earlier) -> Column:
+    kind, fields, _ = spec
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
     if kind in ("total", "total_before"):
-        return F.sum(s).over(before)
+        return F.sum(f"__s_{name}").over(before)
     if kind == "peak":
-        return F.max(s).over(before)
-    if kind in ("latest", "latest_before"):
-        return F.last(s, ignorenulls=True).over(before)
-    return F.lag(s).over(earlier)
+        return F.max(f"__s_{name}").over(before)
+    value = F.struct(*[F.col(f"__s_{name}_{f}").alias(f) for f in fields])
+    if kind == "previous":
+        return F.lag(value).over(earlier)
+    return F.last(F.when(F.col(f"__s_{name}"), value), ignorenulls=True).over(before)
 
 
-def _within(df, keys, order, kinds, carried) -> DataFrame:
+def _within(df, keys, order, specs, carried) -> DataFrame:
     here = Window.partitionBy(*keys).orderBy(*order)
     upto = here.rowsBetween(Window.unboundedPreceding, 0)
     ahead = here.rowsBetween(Window.unboundedPreceding, -1)
     out = {}
-    for name, kind in kinds.items():
-        x = F.col(f"__x_{name}")
+    for name, (kind, fields, many) in specs.items():
         c = F.col(f"__c_{name}") if carried else None
+        frame = upto if kind in ("total", "latest", "peak") else ahead
         if kind in ("total", "total_before"):
-            inside = F.coalesce(F.sum(x).over(upto if kind == "total" else ahead), F.lit(0))
+            inside = F.coalesce(F.sum(f"__x_{name}_v").over(frame), F.lit(0))
             out[name] = inside + F.coalesce(c, F.lit(0)) if carried else inside
         elif kind == "peak":
-            inside = F.max(x).over(upto)
+            inside = F.max(f"__x_{name}_v").over(frame)
             out[name] = F.greatest(inside, c) if carried else inside
-        elif kind in ("latest", "latest_before"):
-            inside = F.last(x, ignorenulls=True).over(upto if kind == "latest" else ahead)
-            out[name] = F.coalesce(inside, c) if carried else inside
         else:
-            inside = F.lag(F.struct(x.alias("v"))).over(here)
-            out[name] = (F.coalesce(inside, c) if carried else inside)["v"]
+            value = F.struct(*[F.col(f"__x_{name}_{f}").alias(f) for f in fields])
+            if kind == "previous":
+                inside = F.lag(value).over(here)
+            else:
+                inside = F.last(F.when(F.col(f"__has_{name}"), value), ignorenulls=True).over(frame)
+            found = F.coalesce(inside, c) if carried else inside
+            out[name] = found if many else found["v"]
     return df.withColumns(out)
 
 

@@ -222,7 +222,7 @@ def passband_check(psd: DataFrame, nbins: int, rate_hz: float, smooth: int = 33,
 
 def fm_discriminate(blocks: DataFrame, keys=("stream_id",), block=DEFAULT_BLOCK) -> DataFrame:
     """Phase step from each sample to the next; the first of a run is set against zero."""
-    last = F.struct(F.element_at("i", -1).alias("i"), F.element_at("q", -1).alias("q"))
+    last = {c: F.element_at(c, -1) for c in ("i", "q")}
     rows = ordered_scan(blocks, list(keys), "seq", {"__last": previous(last)}, block)
     zero = F.lit(0.0).cast("float")
 

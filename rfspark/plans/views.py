@@ -9,9 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Blocks used by the registered queries. Small, so that even the smallest scale
-# crosses block borders.
-SEQ_BLOCK = 2048
+# Blocks used by the registered queries. Small, so that test scales
+# cross block borders.
+SEQ_BLOCK = 4096
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
