@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rfspark.functions.scalar import file_epoch_seconds
-from rfspark.operators.scan import latest, ordered_scan
+from rfspark.operators.scan import latest, ordered_scan, salted_join
 from rfspark.session import cut
 from rfspark.sources.chunks import view
 
@@ -126,7 +126,7 @@ def capture_metadata(chunks: DataFrame) -> DataFrame:
     )
     previews = view(chunks, "SPRV").groupBy("file").agg(F.count("*").alias("n_previews"))
     types = view(chunks, "MDTT").groupBy("file").agg(F.count_if(F.size("types") > 0).alias("n_types"))
-    samp = view(chunks, "SAMP").join(strm.select("file", F.col("strm.stream_id").alias("primary")), "file")
+    samp = salted_join(view(chunks, "SAMP"), strm.select("file", F.col("strm.stream_id").alias("primary")), "file")
     own = F.col("stream_id") == F.col("primary")
     sums = samp.groupBy("file").agg(
         F.count("*").alias("n_chunks"),

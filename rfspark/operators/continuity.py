@@ -247,14 +247,16 @@ def break_log(indexed: DataFrame) -> DataFrame:
     at = marks.groupBy("stream_id", F.col("first_sample").alias("at_sample")).agg(
         F.bool_or(is_gap()).alias("gap"),
         F.bool_or(F.coalesce(change == "initial", F.lit(False))).alias("initial"),
-        F.max_by(F.struct("center_hz", "rate_hz"), F.when(change.isNotNull(), F.col("seq"))).alias("geometry"),
+        F.bool_or(change.isNotNull()).alias("moved"),
+        F.max_by("center_hz", F.when(change.isNotNull(), F.col("seq"))).alias("center_hz"),
+        F.max_by("rate_hz", F.when(change.isNotNull(), F.col("seq"))).alias("rate_hz"),
     )
     nothing = F.struct(
         F.lit(None).cast("double").alias("center_hz"), F.lit(None).cast("double").alias("rate_hz")
     )
     geometry = F.struct(
-        F.col("geometry.center_hz").cast("double").alias("center_hz"),
-        F.col("geometry.rate_hz").cast("double").alias("rate_hz"),
+        F.col("center_hz").cast("double").alias("center_hz"),
+        F.col("rate_hz").cast("double").alias("rate_hz"),
     )
     entries = F.array_compact(
         F.array(
@@ -263,7 +265,7 @@ def break_log(indexed: DataFrame) -> DataFrame:
                 F.struct(F.lit(0).alias("place"), F.lit("gap").alias("kind"), nothing.alias("g")),
             ),
             F.when(
-                F.col("geometry").isNotNull(),
+                F.col("moved"),
                 F.struct(
                     F.lit(1).alias("place"),
                     F.when(F.col("initial"), "initial").otherwise("retune").alias("kind"),
@@ -298,14 +300,22 @@ def with_epochs(rows: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
 
 def epochs(numbered: DataFrame) -> DataFrame:
     """One row per contiguous run of a stream."""
-    opening = F.struct("center_hz", "rate_hz", "gap_class", "after_loss", "geometry_change", "gap")
+    kind, change = F.col("gap_class"), F.col("geometry_change")
+    # What opened a run as bits: numbers keep the aggregate a hash aggregate.
+    bits = {"drop": kind == "drop", "backward": kind == "backward", "reset": F.col("after_loss")}
+    bits |= {"initial": change == "initial", "retune": change == "retune"}
+    mask = sum((F.when(F.coalesce(b, F.lit(False)), 1 << k).otherwise(0) for k, b in enumerate(bits.values())), F.lit(0))
+    lost = F.when(kind == "drop", F.col("gap")).otherwise(F.lit(0))
     runs = numbered.groupBy("stream_id", "epoch_id").agg(
         F.min("first_sample").alias("first_sample"),
         F.sum("samples").alias("n_samples"),
         F.count("*").alias("n_packets"),
         F.min("start_time").alias("t_start"),
         F.max("end_time").alias("t_end"),
-        F.min_by(opening, F.col("seq")).alias("o"),
+        F.min_by("center_hz", "seq").alias("center_hz"),
+        F.min_by("rate_hz", "seq").alias("rate_hz"),
+        F.min_by(lost, F.col("seq")).alias("lost_before"),
+        F.min_by(mask, F.col("seq")).alias("__mask"),
     )
     return runs.select(
         "stream_id",
@@ -315,14 +325,11 @@ def epochs(numbered: DataFrame) -> DataFrame:
         "n_packets",
         "t_start",
         "t_end",
-        F.col("o.center_hz").alias("center_hz"),
-        F.col("o.rate_hz").alias("rate_hz"),
-        F.when(F.col("o.gap_class") == "drop", F.col("o.gap")).otherwise(F.lit(0)).alias("lost_before"),
+        "center_hz",
+        "rate_hz",
+        "lost_before",
         F.concat_ws(
-            "+",
-            F.when(F.col("o.gap_class").isin("drop", "backward"), F.col("o.gap_class")),
-            F.when(F.col("o.after_loss"), "reset"),
-            F.col("o.geometry_change"),
+            "+", *[F.when(F.col("__mask").bitwiseAND(1 << k) != 0, n) for k, n in enumerate(bits)]
         ).alias("opened_by"),
     )
 
@@ -355,9 +362,11 @@ def flag_loss(sdk_packets: DataFrame) -> DataFrame:
     )
 
 
-def with_overrun(blocks: DataFrame, breaks: DataFrame) -> DataFrame:
+def with_overrun(blocks: DataFrame, breaks: DataFrame, block=1 << 34) -> DataFrame:
     """Flag each read block that has a break since the block before it.
 
+    ``block`` counts samples here.
+
     ``blocks`` have ``stream_id, first_sample, n``. Each break belongs to the
     block holding its sample, found by putting both on one axis.
     """
@@ -370,6 +379,7 @@ def with_overrun(blocks: DataFrame, breaks: DataFrame) -> DataFrame:
         "stream_id",
         ["at", "rank"],
         {"block_first": latest_before(F.when(F.col("rank") == 0, F.col("at")))},
+        block,
     )
     own = F.when(F.col("rank") == 0, F.col("at")).otherwise(F.col("block_first"))
     return (
@@ -424,9 +434,11 @@ def accounting_rollup(packets: DataFrame) -> DataFrame:
     )
 
 
-def attribute_gaps(gaps: DataFrame, health: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
+def attribute_gaps(gaps: DataFrame, health: DataFrame, block) -> DataFrame:
     """Give each gap the loss verdict its device held at that time.
 
+    ``block`` is a stretch of time, in units of ``at``, with a fair number of gaps.
+
     ``gaps`` have ``device_id, at, seq``; ``health`` has ``device_id, at`` and
     ``losing_nothing`` (null where the device reports no counters). The last
     verdict at or before the gap decides.

@@ -45,19 +45,22 @@ def throughput(arrivals: DataFrame, settle_s: float, window_s: float, ticks: flo
     What arrives before the settle time is discarded, and so is the first
     arrival after it, which starts the window. The arrival that crosses the end
     closes the window and is not counted. A window that never closed, counted
-    nothing, or spans less than half its length gives null. ``consumer_limited``
+    nothing, or spans less than half its length gives null. ``seq`` is the order
+    of arrival, along which ``at`` never falls. ``consumer_limited``
     says that the reader itself was full inside the window.
     """
     settle, window = settle_s * ticks, window_s * ticks
     settled = F.col("at") - F.col("opened") >= settle
-    place = F.struct("at", "seq")
-    marks = arrivals.groupBy("connection_id").agg(F.min(F.when(settled, place)).alias("mark"))
+    first = F.when(settled, F.col("seq"))
+    marks = arrivals.groupBy("connection_id").agg(
+        F.min(first).alias("mark_seq"), F.min_by("at", first).alias("mark_at")
+    )
     rows = salted_join(arrivals, marks, "connection_id")
-    after = (F.col("at") > F.col("mark.at")) | ((F.col("at") == F.col("mark.at")) & (F.col("seq") > F.col("mark.seq")))
-    inside = after & (F.col("at") - F.col("mark.at") < window)
-    early = F.col("mark").isNull() | ~after
+    after = F.coalesce(F.col("seq") > F.col("mark_seq"), F.lit(False))
+    inside = after & (F.col("at") - F.col("mark_at") < window)
+    early = ~after
     sums = rows.groupBy("connection_id").agg(
-        F.max("mark.at").alias("mark_at"),
+        F.max("mark_at").alias("mark_at"),
         F.min("opened").alias("opened"),
         F.coalesce(F.bool_or(after & ~inside), F.lit(False)).alias("closed"),
         F.coalesce(F.sum(F.when(inside, F.col("bytes"))), F.lit(0)).alias("bytes"),

@@ -22,6 +22,8 @@ TRACES = {"average": F.avg, "maxhold": F.max, "minhold": F.min}
 SILENT_DBM = -120.0
 FALLOFF_DB = 8.0
 TINY = 1e-30
+# Rows that carry sample arrays are scanned in shorter blocks: a block is one window partition.
+ARRAY_BLOCK = 1 << 10
 
 
 def trace(bins: DataFrame, window: int, kinds=("average", "maxhold", "minhold")) -> DataFrame:
@@ -220,7 +222,7 @@ def passband_check(psd: DataFrame, nbins: int, rate_hz: float, smooth: int = 33,
     return out.withColumns({"flat": F.col("ripple_db") < 12.0, "rolls_off": F.col("edge_db") < -1.0})
 
 
-def fm_discriminate(blocks: DataFrame, keys=("stream_id",), block=DEFAULT_BLOCK) -> DataFrame:
+def fm_discriminate(blocks: DataFrame, keys=("stream_id",), block=ARRAY_BLOCK) -> DataFrame:
     """Phase step from each sample to the next; the first of a run is set against zero."""
     last = {c: F.element_at(c, -1) for c in ("i", "q")}
     rows = ordered_scan(blocks, list(keys), "seq", {"__last": previous(last)}, block)
@@ -250,7 +252,7 @@ def low_pass(factor: int, taps: int = 31) -> list[float]:
     return (h / h.sum()).tolist()
 
 
-def decimate(blocks: DataFrame, factor: int = 5, taps=None, keys=("stream_id",), block=DEFAULT_BLOCK) -> DataFrame:
+def decimate(blocks: DataFrame, factor: int = 5, taps=None, keys=("stream_id",), block=ARRAY_BLOCK) -> DataFrame:
     """Filter a series of ``x`` arrays and keep every ``factor``-th value.
 
     Blocks hold ``first_sample`` and follow one another; each needs the tail of

@@ -31,17 +31,21 @@ def query(name, sql):
 def run(df, spark, purpose, rocks=False):
     """Drive a stream over everything that has landed and read its output back."""
     folder = shared_folder(spark, purpose)
-    store = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(store, None)
+    wanted = {}
     if rocks:
-        spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        rocksdb = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        wanted["spark.sql.streaming.stateStore.providerClass"] = rocksdb
+    if spark.sparkContext.master.startswith("local"):
+        # Every shuffle partition of a stateful query keeps a store of its own.
+        wanted["spark.sql.shuffle.partitions"] = str(min(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:
         feed.start_stream(df, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     finally:
-        if rocks and before is not None:
-            spark.conf.set(store, before)
-        elif rocks:
-            spark.conf.unset(store)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
@@ -73,7 +77,7 @@ def live_packets(spark, sf):
 # The number of an event in hex, four digits to a pair, is the payload.
 @query(
     "s4_stream_dumps",
-    """SELECT user_id % 16 AS stream_id, event_id AS event, n AS samples, ascii(substr(h, 1, 1)) + 256 * ascii(substr(h, 2, 1)) AS first_i,
+    """SELECT user_id % 16 AS stream_id, event_id AS event, n AS samples, CAST(ascii(substr(h, 1, 1)) + 256 * ascii(substr(h, 2, 1)) AS BIGINT) AS first_i,
   n * (ascii(substr(h, 3, 1)) + 256 * ascii(substr(h, 4, 1))) AS sum_q
 FROM (SELECT *, lpad(upper(to_hex(event_id)), 4, '0') AS h, CAST(round(value) AS BIGINT) % 40 + 1 AS n FROM events) WHERE event_type <> 'error' AND event_id < 65536
 UNION ALL SELECT user_id % 16, event_id, n, ascii(substr(h, 1, 1)) + 256 * ascii(substr(h, 2, 1)), n * (ascii(substr(h, 3, 1)) + 256 * ascii(substr(h, 4, 1)))

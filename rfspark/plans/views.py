@@ -15,6 +15,8 @@ SEQ_BLOCK = 4096
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    # The tables' times have no zone; reading them as UTC is what the SQL checks do.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

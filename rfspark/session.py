@@ -19,6 +19,8 @@ def local_session(cpus: str = "*", app: str = "rfspark", partitions: int = 8) ->
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Packet rows hold up to megabytes of payload: a Python batch of 10 000 would not fit.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
         .config("spark.driver.memory", os.environ.get("RFSPARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -144,3 +144,8 @@ def test_links_stop_at_cycles_and_holes(spark):
     got = {(r.file, r.chunk_offset): r.step for r in ca.follow_links(nodes_, roots).collect()}
     want = {("a", 10): 0, ("a", 20): 1, ("a", 30): 2, ("b", 10): 0, ("c", 5): 0} | {("d", k): 59 - k for k in range(1, 60)}
     assert got == want
+
+
+def test_sdk_options_say_what_is_open(spark):
+    got = spark.range(1).select(hl.sdk_options(F.lit("a;; b;c"), F.lit(4).cast("long")).alias("o")).first().o
+    assert [(o["index"], o.label, o.enabled) for o in got] == [(0, "a", True), (2, "b", False), (3, "c", True)]
