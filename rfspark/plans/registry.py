@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 
+from rfspark.session import ship
+
 AREAS = ["continuity", "scalars", "headers", "geometry", "blocks", "spectral", "linkbudget", "health", "catalogue", "feeds"]
 
 
@@ -17,8 +20,17 @@ def _gather(kind: str) -> dict:
     return out
 
 
+def _shipping(fn):
+    @functools.wraps(fn)
+    def run(spark, sf):
+        ship(spark)
+        return fn(spark, sf)
+
+    return run
+
+
 def queries() -> dict:
-    return _gather("QUERIES")
+    return {name: _shipping(fn) for name, fn in _gather("QUERIES").items()}
 
 
 def oracle_sql() -> dict:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -54,3 +55,26 @@ def cut(df, purpose: str):
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the session's Python workers, once.
+
+    The zip is handed to Spark, which distributes it; a cluster that has the
+    package installed needs no such call.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="spark-", dir="/tmp"), "rfspark")
+    path = shutil.make_archive(base, "zip", os.path.dirname(here), os.path.basename(here))
+    spark.sparkContext.addPyFile(path)
+    # The worker that prepares a stateful query runs beside the driver and takes
+    # no such files, only the path of its environment.
+    paths = [os.path.dirname(here), spark.sparkContext.environment.get("PYTHONPATH")]
+    spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in paths if p)
+    _shipped.add(app)
