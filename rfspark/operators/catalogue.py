@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rfspark.functions.scalar import file_epoch_seconds
-from rfspark.operators.scan import latest, ordered_scan, salted_join
+from rfspark.operators.scan import latest, ordered_scan, salted_join, total_before
 from rfspark.session import cut
 from rfspark.sources.chunks import view
 
@@ -235,84 +235,74 @@ def with_capture_flags(captures: DataFrame) -> DataFrame:
     )
 
 
-def _child_rules(children: DataFrame, errors: list, warnings: list) -> DataFrame:
-    """What is wrong with the children of a file, numbered in file order.
+def with_child_number(children: DataFrame, block=1 << 30) -> DataFrame:
+    """Number the chunks of a kind within their file, from 0; ``block`` is a stretch of bytes."""
+    return ordered_scan(children, "file", "chunk_offset", {"k": total_before(F.lit(1).cast("long"))}, block)
 
-    Sound children leave nothing behind, so lists stay as short as the trouble.
-    """
-    listed = lambda rules: F.array_compact(
-        F.array(*[F.when(bad, F.struct(F.col("k"), F.lit(text).alias("text"))) for bad, text in rules])
-    ) if rules else F.array().cast("array<struct<k:bigint,text:string>>")
-    found = children.select("file", listed(errors).alias("e"), listed(warnings).alias("w")).filter(
-        (F.size("e") > 0) | (F.size("w") > 0)
-    )
-    flat = lambda c: F.flatten(F.collect_list(c))
-    return found.groupBy("file").agg(flat("e").alias("e"), flat("w").alias("w"))
 
+def _findings(df: DataFrame, rules: list, numbered: bool) -> DataFrame:
+    """One row per broken rule: ``file, severity, k, text``."""
+    k = F.col("k") if numbered else F.lit(None).cast("long")
+    hits = [
+        F.when(bad, F.struct(F.lit(severity).alias("severity"), k.alias("k"), F.lit(text).alias("text")))
+        for severity, bad, text in rules
+    ]
+    return df.select("file", F.explode(F.array_compact(F.array(*hits))).alias("f")).select("file", "f.*")
 
-def validate_captures(captures: DataFrame, sstr: DataFrame, anta: DataFrame, sprv: DataFrame) -> DataFrame:
-    """Errors and warnings of every file; valid means no error.
 
-    Children carry ``k``, their number within the file.
-    """
+def capture_findings(captures: DataFrame, sstr: DataFrame, anta: DataFrame, sprv: DataFrame) -> DataFrame:
+    """Errors and warnings of all files as rows; children carry their number ``k``."""
     expected = F.try_multiply(F.col("total_samples"), F.lit(8).cast("long"))
     off = F.abs(expected - F.col("sample_data_size")) > F.floor(expected / 10)
     counted = (F.col("total_samples") > 0) & (F.col("sample_data_size") > 0)
     has_subs = F.col("n_sub_streams") > 0
-    tail_bad = F.col("tail").isNotNull() & (F.isnan("tail.end_time") | (F.col("tail.end_time") <= 0))
-    errors = F.array_compact(
-        F.array(
-            F.when(
-                (F.col("end_time_ns") > 0) & (F.col("end_time_ns") <= F.col("start_time_ns")),
-                "end time is not after start time",
-            ),
-            F.when(tail_bad, "stream tail reports a non-positive duration"),
-        )
-    )
-    warnings = F.array_compact(
-        F.array(
-            F.when((F.col("sample_rate_hz") <= 0) & has_subs, "sample rate unknown"),
-            F.when(F.col("center_frequency_hz").isNull() & has_subs, "centre frequency unknown"),
-            F.when(counted & expected.isNull(), "sample count too large for any payload").when(
-                counted & off, "sample count does not match the bytes found"
-            ),
-            F.when(
-                (F.col("tail.num_samples") > 0) & (F.col("tail.payload_size") == 0), "stream tail has samples but no payload"
-            ),
-        )
-    )
-    children = (
-        _child_rules(
-            sstr,
-            [(F.col("frequency_span") <= 0, "sub-stream has an invalid span")],
-            [(F.col("frequency_step") <= 0, "sub-stream has an invalid step"), (F.col("name") == "", "sub-stream has no name")],
-        )
-        .unionByName(
-            _child_rules(
-                anta, [], [(F.col("name") == "", "antenna has no name"), (F.col("num_segments") == 0, "antenna has no segments")]
-            )
-        )
-        .unionByName(
-            _child_rules(
-                sprv,
-                [
-                    (F.least("count", F.lit(16)) != F.col("count"), "preview count does not match its places"),
-                    (F.size("offsets") != F.size("times"), "preview places and times differ"),
-                ],
-                [],
-            )
-        )
-        .groupBy("file")
-        .agg(F.flatten(F.collect_list("e")).alias("e"), F.flatten(F.collect_list("w")).alias("w"))
-    )
-    text = lambda c: F.coalesce(
-        F.transform(F.array_sort(c), lambda x: F.concat(x["text"], F.lit(" #"), x["k"].cast("string"))),
-        F.array().cast("array<string>"),
+    tail = F.col("tail").isNotNull()
+    own = [
+        ("error", (F.col("end_time_ns") > 0) & (F.col("end_time_ns") <= F.col("start_time_ns")), "end time is not after start time"),
+        (
+            "error",
+            tail & (F.isnan("tail.end_time") | (F.col("tail.end_time") <= 0)),
+            "stream tail reports a non-positive duration",
+        ),
+        ("warning", (F.col("sample_rate_hz") <= 0) & has_subs, "sample rate unknown"),
+        ("warning", F.col("center_frequency_hz").isNull() & has_subs, "centre frequency unknown"),
+        ("warning", counted & expected.isNull(), "sample count too large for any payload"),
+        ("warning", counted & off, "sample count does not match the bytes found"),
+        (
+            "warning",
+            tail & (F.col("tail.num_samples") > 0) & (F.col("tail.payload_size") == 0),
+            "stream tail has samples but no payload",
+        ),
+    ]
+    sub = [
+        ("error", F.col("frequency_span") <= 0, "sub-stream has an invalid span"),
+        ("warning", F.col("frequency_step") <= 0, "sub-stream has an invalid step"),
+        ("warning", F.col("name") == "", "sub-stream has no name"),
+    ]
+    antenna = [
+        ("warning", F.col("name") == "", "antenna has no name"),
+        ("warning", F.col("num_segments") == 0, "antenna has no segments"),
+    ]
+    preview = [
+        ("error", F.least("count", F.lit(16)) != F.col("count"), "preview count does not match its places"),
+        ("error", F.size("offsets") != F.size("times"), "preview places and times differ"),
+    ]
+    return (
+        _findings(captures, own, False)
+        .unionByName(_findings(sstr, sub, True))
+        .unionByName(_findings(anta, antenna, True))
+        .unionByName(_findings(sprv, preview, True))
     )
-    report = captures.join(children, "file", "left").withColumns(
-        {"errors": F.concat(errors, text("e")), "warnings": F.concat(warnings, text("w"))}
+
+
+def validate_captures(captures: DataFrame, findings: DataFrame) -> DataFrame:
+    """Count of errors and warnings of every file; valid means no error."""
+    counts = findings.groupBy("file").agg(
+        F.count_if(F.col("severity") == "error").alias("n_errors"),
+        F.count_if(F.col("severity") == "warning").alias("n_warnings"),
     )
-    return report.drop("e", "w").withColumn("valid", F.size("errors") == 0)
+    report = captures.join(counts, "file", "left").fillna(0, ["n_errors", "n_warnings"])
+    return report.withColumn("valid", F.col("n_errors") == 0)
 
 
 def preview_index(sprv: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ how many of them make a second.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from rfspark.operators import kernels
 from rfspark.session import cut
@@ -406,11 +405,16 @@ def report_schedule(classified: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
         },
         block,
     )
-    powers = F.transform(F.sequence(F.lit(0), F.lit(62)), lambda n: F.pow(F.lit(2.0), n).cast("long"))
-    fours = F.filter(powers, lambda x, i: i % 2 == 0)
+
+    def power_of_two(n):
+        return (n > 0) & (n.bitwiseAND(n - 1) == 0)
+
+    # A power of four is a power of two with its bit in an even place.
+    even = F.lit(0x5555555555555555).cast("long")
+    drops, steps = F.col("drops"), F.col("backward_steps")
     return counted.filter(
-        ((kind == "drop") & F.array_contains(fours, F.col("drops")))
-        | ((kind == "backward") & F.array_contains(powers, F.col("backward_steps")))
+        ((kind == "drop") & power_of_two(drops) & (drops.bitwiseAND(even) != 0))
+        | ((kind == "backward") & power_of_two(steps))
     ).withColumn("nth", F.when(kind == "drop", F.col("drops")).otherwise(F.col("backward_steps")))
 
 

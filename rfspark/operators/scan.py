@@ -11,7 +11,7 @@ are shuffled once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 DEFAULT_BLOCK = 1 << 20
@@ -62,7 +62,7 @@ def ordered_scan(df: DataFrame, keys, order, scans: dict, block=DEFAULT_BLOCK) -
 
     ``order`` is one column name or several; blocks are cut on the first.
     ``block=None`` keeps each key in a single window partition, for callers who
-    know that their keys are small.
+    know that their keys are small. Keys and order must not be null.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)
@@ -143,12 +143,21 @@ def salted_join(big: DataFrame, per_key: DataFrame, keys, how: str = "inner", sa
     """Join rows to a one-row-per-key table without piling a hot key on one task.
 
     The per-key side is repeated ``salts`` times, the other side is spread over
-    the copies by a hash of the whole row.
+    the copies.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    spread = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    copies = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*keys, "__salt"], how).drop("__salt")
+    spread = big.withColumn("__salt", salt_of(big, salts))
+    return spread.join(salted_copies(per_key, salts), [*keys, "__salt"], how).drop("__salt")
+
+
+def salt_of(df: DataFrame, salts: int) -> Column:
+    """A number below ``salts`` from a row's short columns; sample arrays are not read for it."""
+    short = [f.name for f in df.schema if isinstance(f.dataType, (T.NumericType, T.StringType, T.TimestampType))]
+    return F.pmod(F.xxhash64(*short), F.lit(salts)).cast("int")
+
+
+def salted_copies(df: DataFrame, salts: int) -> DataFrame:
+    return df.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
 def once(df: DataFrame, name: str, x: Column) -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.window import Window
 
 from rfspark.functions.scalar import db_to_linear, linear_to_db
-from rfspark.operators.blocks import explode_bins
 from rfspark.operators.geometry import band_join
 from rfspark.operators.quantile import quantile
 from rfspark.operators.scan import DEFAULT_BLOCK, ordered_scan, peak, previous

@@ -198,36 +198,39 @@ def orphan_chunks(spark, sf):
     return ca.orphans(samp, sstr).select("file", "l_linenumber", "sub_stream_id")
 
 
-def _children(view_df):
-    """Number the children of each file."""
-    from pyspark.sql.window import Window
-
-    k = F.row_number().over(Window.partitionBy("file").orderBy("chunk_offset")) - 1
-    return view_df.withColumn("k", k.cast("long"))
+def _findings(spark, sf):
+    c = _chunks(spark, sf)
+    captures = ca.capture_metadata(c)
+    children = [ca.with_child_number(ch.view(c, kind), 4096) for kind in ("SSTR", "ANTA", "SPRV")]
+    return captures, ca.capture_findings(captures, *children)
+
+
+FOUND = (
+    META
+    + """, b AS (SELECT number, sum(CASE WHEN short THEN 192 ELSE 320 END) AS bytes FROM s GROUP BY 1),
+found AS (
+  SELECT number, 'error' AS severity, -1 AS k, 'stream tail reports a non-positive duration' AS text FROM meta WHERE raw OR number % 5 = 4
+  UNION ALL SELECT m.number, 'warning', -1, 'sample count does not match the bytes found' FROM meta m JOIN b USING (number) WHERE abs(256 * n - bytes) > 256 * n // 10
+  UNION ALL SELECT number, 'warning', 0, 'antenna has no segments' FROM meta WHERE NOT raw AND number % 2 = 0
+  UNION ALL SELECT number, 'warning', 1, 'sub-stream has an invalid step' FROM meta WHERE NOT raw AND number % 3 = 0
+  UNION ALL SELECT number, 'warning', 1, 'sub-stream has no name' FROM meta WHERE NOT raw AND number % 3 = 1)"""
+)
 
 
-def _report(spark, sf):
-    c = _chunks(spark, sf)
-    return ca.validate_captures(
-        ca.capture_metadata(c),
-        _children(ch.view(c, "SSTR")),
-        _children(ch.view(c, "ANTA")),
-        _children(ch.view(c, "SPRV")),
-    )
+@query("m11_validation_findings", f"WITH {FOUND} SELECT number, severity, CAST(k AS BIGINT) AS k, text FROM found")
+def findings(spark, sf):
+    f = numbered(_findings(spark, sf)[1])
+    return f.select("number", "severity", F.coalesce("k", F.lit(-1)).alias("k"), "text")
 
 
 @query(
     "m11_validation_report",
-    f"""WITH {META}, b AS (SELECT number, sum(CASE WHEN short THEN 192 ELSE 320 END) AS bytes FROM s GROUP BY 1)
-SELECT m.number, NOT (raw OR m.number % 5 = 4) AS valid, CASE WHEN raw OR m.number % 5 = 4 THEN 'stream tail reports a non-positive duration' ELSE '' END AS errors,
-  CASE WHEN raw THEN '' ELSE concat_ws('; ', CASE WHEN abs(256 * n - bytes) > 256 * n // 10 THEN 'sample count does not match the bytes found' END,
-    CASE WHEN m.number % 2 = 0 THEN 'antenna has no segments #0' END,
-    CASE WHEN m.number % 3 = 0 THEN 'sub-stream has an invalid step #1' END, CASE WHEN m.number % 3 = 1 THEN 'sub-stream has no name #1' END) END AS warnings
-FROM meta m LEFT JOIN b USING (number)""",
+    f"""WITH {FOUND} SELECT m.number, count(f.number) FILTER (severity = 'error') = 0 AS valid, count(f.number) FILTER (severity = 'error') AS n_errors,
+  count(f.number) FILTER (severity = 'warning') AS n_warnings FROM meta m LEFT JOIN found f ON f.number = m.number GROUP BY 1""",
 )
 def validation(spark, sf):
-    r = numbered(_report(spark, sf))
-    return r.select("number", "valid", F.array_join("errors", "; ").alias("errors"), F.array_join("warnings", "; ").alias("warnings"))
+    r = numbered(ca.validate_captures(*_findings(spark, sf)))
+    return r.select("number", "valid", "n_errors", "n_warnings")
 
 
 @query(

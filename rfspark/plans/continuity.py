@@ -10,7 +10,6 @@ from rfspark.plans.views import (
     HEALTH,
     PKT,
     SEQ_BLOCK,
-    arrivals,
     fixed,
     fx,
     health,

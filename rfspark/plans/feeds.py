@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from rfspark.operators import decode, headers as hd
 from rfspark.operators.health import losing_nothing
-from rfspark.plans.continuity import ADAPT, GAPS
+from rfspark.plans.continuity import ADAPT
 from rfspark.plans.headers import PAIRS, _pairs, _wire
-from rfspark.plans.views import HEALTH, IQ, PKT, SEQ_BLOCK, health, iq_blocks, packets, table
+from rfspark.plans.views import HEALTH, IQ, PKT, health, packets, table
 from rfspark.session import shared_folder
 from rfspark.sources import dumps, feed
 from rfspark.streaming import continuity as live, stats

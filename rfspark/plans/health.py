@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rfspark.operators import health as hl
-from rfspark.plans.views import HEALTH, fixed, fx, health, table
+from rfspark.plans.views import HEALTH, health, table
 
 QUERIES, ORACLE = {}, {}
 

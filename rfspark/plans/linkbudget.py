@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rfspark.operators import continuity as ct, linkbudget as lb
-from rfspark.plans.continuity import TUNED
+from rfspark.operators import linkbudget as lb
 from rfspark.plans.views import OBS, PKT, SEQ_BLOCK, arrivals, fixed, fx, packets, table
 
 QUERIES, ORACLE = {}, {}

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from rfspark.operators import spectral as sp
 from rfspark.operators.blocks import explode_bins
-from rfspark.operators.scan import ordered_scan, total_before
 from rfspark.plans.blocks import INDEXED, indexed_blocks
 from rfspark.plans.views import BAND, FRAME, IQ, bands, fixed, frames, fx, iq_blocks, table
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rfspark.functions.scalar import value_width
-from rfspark.operators.decode import decompress_spectra
+from rfspark.operators.decode import decode_scalars, decompress_spectra
 from rfspark.operators.scan import DEFAULT_BLOCK, ordered_scan, total_before
 from rfspark.sources.files import filesystem
 
@@ -216,6 +216,4 @@ def load_spectra(samp: DataFrame) -> DataFrame:
         (F.col("chunk_offset") + F.col("header_size")).alias("at"),
         (fits * width).alias("bytes"),
     )
-    from rfspark.operators.decode import decode_scalars
-
     return decode_scalars(read_payloads(ranges.repartition("file", "chunk_offset")))

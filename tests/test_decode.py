@@ -1,7 +1,6 @@
 import json
 import os
 import random
-import struct
 
 import numpy as np
 import pytest
