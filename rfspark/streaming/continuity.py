@@ -65,8 +65,6 @@ class Timeline:
                 s["gap"] = True
                 s["drops" if kind == "drop" else "backward_steps"] += 1
         s["linked"], s["end_time"], s["duration"] = True, end, duration
-        if not s["linked"]:
-            s["duration"] = None
         if rate is not None and rate > 0:
             self.geometry(center, rate)
         if samples > 0:

@@ -1,3 +1,6 @@
+import os
+import time
+
 from pyspark.sql import functions as F
 
 from rfspark.operators import continuity as ct
@@ -27,3 +30,30 @@ def test_late_packets_are_set_aside(spark, tmp_path):
     source = feed.read_packet_stream(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, 1)
     got = run(live.continuity_stream(source, cap_s=None, stall_s=None), spark, "late", rocks=True)
     assert got.filter(F.col("kind") == "late").count() == 50
+
+
+def test_a_quiet_stream_stalls(spark, tmp_path):
+    rows = noisy(13, 60, streams=2)
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(rows[:30], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    source = feed.read_packet_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema, 1)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        breaks = live.continuity_stream(source, cap_s=None, stall_s=1.0)
+        query = feed.start_stream(breaks, out, str(tmp_path / "checkpoint"), continuous="1 second")
+        try:
+            # The engine keeps running batches for its timers, so there is no "all" to wait for.
+            until = time.time() + 60
+            while time.time() < until:
+                time.sleep(1)
+                if not os.path.isdir(f"{out}/_spark_metadata"):
+                    continue
+                done = spark.read.schema(breaks.schema).parquet(out)
+                if done.filter("kind = 'stall'").select("stream_id").distinct().count() == 2:
+                    break
+        finally:
+            query.stop()
+    finally:
+        spark.conf.unset(store)
+    assert spark.read.schema(breaks.schema).parquet(out).filter("kind = 'stall'").count() == 2
