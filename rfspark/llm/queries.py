@@ -9,7 +9,7 @@ from rfspark.llm.common import LOWER, UPPER, table
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = simhash.near_groups(table(spark, sf_dir, "documents"), width=3, k=2)
+    rows = simhash.near_groups(table(spark, sf_dir, "documents"), width=3, k=2, similarity=None)
     return rows.select(
         F.col("id").alias("doc_id"),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

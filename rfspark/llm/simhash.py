@@ -24,6 +24,7 @@ smallest id of a component that has another; a component of null ids has null.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -37,33 +38,50 @@ SEED = 42
 SAMPLE = 20_000  # fingerprints at most, for grouping bits
 
 
-def fingerprint(text: str | None, width: int) -> int:
-    """The fingerprint of one text, as an unsigned 64-bit value."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """XXH64 of every shingle, repeats included; none if there are no words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
+    digest = xxhash.xxh64_intdigest
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(b" ".join(x), SEED) for x in zip(*(words[i:] for i in range(width)))]
+        return np.array([digest(b" ".join(words), SEED)] if words else [], np.uint64)
+    return np.array([digest(b" ".join(x), SEED) for x in zip(*(words[i:] for i in range(width)))], np.uint64)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as an unsigned 64-bit value."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
-        bits = np.unpackbits(np.array(hashes[at : at + 65536], ">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        bits = np.unpackbits(hashes[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         counts += bits.sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """``id, fp`` for every row; ``fp`` is the fingerprint's 64 bits as a long."""
+def _set_name(hashes: np.ndarray) -> int:
+    """One value for a set of shingles."""
+    return xxhash.xxh64_intdigest(np.unique(hashes).tobytes(), SEED)
+
+
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, as_sets: bool = False
+) -> DataFrame:
+    """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long.
+
+    ``as_sets``: each shingle votes once however often it occurs, and ``node``
+    names the set of shingles; else ``node`` is the fingerprint.
+    """
 
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t, width) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
+            fps, nodes = [], []
+            for text in batch.column(1).to_pylist():
+                hashes = shingle_hashes(text, width)
+                fps.append(fingerprint(np.unique(hashes) if as_sets else hashes))
+                nodes.append(_set_name(hashes) if as_sets else fps[-1])
+            made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, nodes)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, fp long, node long")
 
 
 def grouped_bits(sample: np.ndarray, m: int) -> list[list[int]]:
@@ -137,46 +155,65 @@ def allocated(own: np.ndarray, crowd: np.ndarray, widths: list[int], k: int) ->
     return out
 
 
-def close_pairs(fps: DataFrame, k: int) -> DataFrame:
-    """``a, b``: pairs of different fingerprints (``fp`` is distinct) at most ``k`` bits apart, each once."""
-    spark = fps.sparkSession
-    n = fps.count()
-    part = min(1.0, SAMPLE / max(n, 1))
-    picked = fps.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 30)) < int(part * (1 << 30)) + 1).limit(SAMPLE)
-    sample = np.array([r[0] for r in picked.collect()], np.int64).view(np.uint64)
-    m, groups = _partitions(sample, n, k)
-    widths = [len(g) for g in groups]
-    crowd = np.array([n / 2.0**w for w in widths])
+def _partitions(sample: np.ndarray, n: int, k: int) -> list[list[int]]:
+    """The groups of bits that cost least for the sample's fingerprints."""
+    best = None
+    for m in range(1, k + 2):
+        groups = grouped_bits(sample, m)
+        widths = [len(g) for g in groups]
+        if sum(math.comb(max(widths), r) for r in range(-(-(k + 1) // m))) > 5000:
+            continue
+        crowd = np.array([n / 2.0**w for w in widths])
+        own = np.ones((len(sample), m))
+        for i, g in enumerate(groups):
+            _, back, count = np.unique(part_value(sample, g), return_inverse=True, return_counts=True)
+            own[:, i] = 1 + (count[back] - 1) * (n / max(len(sample), 1)) + crowd[i]
+        chosen = allocated(own, crowd, widths, k)
+        cost = 2.0 * m
+        for i in range(m):
+            size = np.array([0] + [len(ball(widths[i], t)) for t in range(k + 1)])[chosen[:, i] + 1]
+            cost += float(np.mean(size + np.maximum(size - 1, 0) * crowd[i] + (size > 0) * own[:, i])) if len(sample) else 0
+        if best is None or cost < best[0]:
+            best = (cost, groups)
+    return best[1]
+
+
+def _index(nodes: DataFrame, groups) -> DataFrame:
+    m = len(groups)
 
     def indexed(batches):
         for batch in batches:
-            own = np.asarray(batch.column(0))
-            values = [part_value(own.view(np.uint64), g).view(np.int64) for g in groups]
+            fps = np.asarray(batch.column(1))
+            values = [part_value(fps.view(np.uint64), g).view(np.int64) for g in groups]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.repeat(np.arange(m, dtype=np.int32), len(own))),
+                    pa.array(np.repeat(np.arange(m, dtype=np.int32), len(fps))),
                     pa.array(np.concatenate(values)),
-                    pa.array(np.tile(own, m)),
+                    pa.array(np.tile(np.asarray(batch.column(0)), m)),
+                    pa.array(np.tile(fps, m)),
                 ],
-                ["part", "value", "fp"],
+                ["part", "value", "node", "fp"],
             )
 
-    index = cut(fps.select("fp").mapInArrow(indexed, "part int, value long, fp long"), "simhash-index")
-    held = index.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
-    counts = index.join(held, ["part", "value"]).groupBy("fp")
-    counts = counts.agg(*[F.max(F.when(F.col("part") == i, F.col("n"))).alias(f"n{i}") for i in range(m)])
+    return nodes.select("node", "fp").mapInArrow(indexed, "part int, value long, node long, fp long")
+
+
+def _probes(counts: DataFrame, groups, n: int, k: int) -> DataFrame:
+    m, widths = len(groups), [len(g) for g in groups]
+    crowd = np.array([n / 2.0**w for w in widths])
 
     def probed(batches):
-        balls = {(i, t): ball(widths[i], t) for i in range(m) for t in range(k + 1)}
+        balls = {}
         for batch in batches:
-            own = np.asarray(batch.column(0))
-            counted = np.column_stack([np.asarray(batch.column(1 + i)) for i in range(m)]).astype(np.float64)
+            node, fps = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            counted = np.column_stack([np.asarray(batch.column(2 + i)) for i in range(m)]).astype(np.float64)
             chosen = allocated(counted, crowd, widths, k)
             for i in range(m):
-                values = part_value(own.view(np.uint64), groups[i])
-                for t in range(k + 1):
-                    at = np.flatnonzero(chosen[:, i] == t)
-                    masks = balls[i, t]
+                values = part_value(fps.view(np.uint64), groups[i])
+                for t in np.unique(chosen[:, i][chosen[:, i] >= 0]):
+                    if (i, t) not in balls:
+                        balls[i, t] = ball(widths[i], int(t))
+                    masks, at = balls[i, t], np.flatnonzero(chosen[:, i] == t)
                     room = max(1, 500_000 // len(masks))
                     for s in range(0, len(at), room):
                         some = at[s : s + room]
@@ -185,52 +222,139 @@ def close_pairs(fps: DataFrame, k: int) -> DataFrame:
                             [
                                 pa.array(np.full(len(probes), i, np.int32)),
                                 pa.array(probes.view(np.int64)),
-                                pa.array(np.repeat(own[some], len(masks))),
+                                pa.array(np.repeat(node[some], len(masks))),
+                                pa.array(np.repeat(fps[some], len(masks))),
                             ],
-                            ["part", "value", "q"],
+                            ["part", "value", "q", "q_fp"],
                         )
 
-    probes = counts.mapInArrow(probed, "part int, value long, q long")
-    near = F.bit_count(F.col("q").bitwiseXOR(F.col("fp"))) <= k
-    met = probes.alias("p").join(
-        index.alias("x"),
-        (F.col("p.part") == F.col("x.part")) & (F.col("p.value") == F.col("x.value")) & (F.col("q") < F.col("fp")) & near,
+    return counts.mapInArrow(probed, "part int, value long, q long, q_fp long")
+
+
+def linked(nodes: DataFrame, k: int, verify=None) -> DataFrame:
+    """``node, component`` for nodes (``node, fp``; ``node`` distinct) with a link of at most ``k`` bits.
+
+    A crowded value is not paired out. First every probe meets only the smallest
+    node under the value it probes, which joins a crowd of near copies through
+    its hub. Then only values that still hold nodes of different components are
+    searched, and only for pairs between components. ``verify`` may narrow a
+    table ``a, b`` of candidates to the links that hold.
+    """
+    verify = verify or (lambda pairs: pairs)
+    n = nodes.count()
+    kept = F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(n, 1)) * (1 << 30)) + 1
+    sample = [r[0] for r in nodes.where(kept).select("fp").limit(SAMPLE).collect()]
+    groups = _partitions(np.array(sample, np.int64).view(np.uint64), n, k)
+    m = len(groups)
+
+    index = cut(_index(nodes, groups), "simhash")
+    values = index.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "fp")).alias("hub"))
+    values = cut(values, "simhash")
+    counts = index.join(values, ["part", "value"]).groupBy("node", "fp")
+    counts = counts.agg(*[F.max(F.when(F.col("part") == i, F.col("n"))).alias(f"n{i}") for i in range(m)])
+    # A value under which nothing lies needs no row: the join with the values drops it.
+    probes = cut(_probes(counts, groups, n, k).join(values.drop("n"), ["part", "value"]), "simhash")
+
+    near = F.bit_count(F.col("q_fp").bitwiseXOR(F.col("hub.fp"))) <= k
+    hubs = probes.where((F.col("q") != F.col("hub.node")) & near)
+    hubs = cut(verify(_pairs(hubs.select(F.col("q").alias("a"), F.col("hub.node").alias("b")))), "simhash")
+    joined = cut(components(hubs), "simhash")
+
+    def named(df, column):
+        known = joined.select(F.col("node").alias(column), F.col("component").alias("c"))
+        return df.join(known, column, "left").withColumn("c", F.coalesce("c", column))
+
+    asked = named(probes.select("part", "value", "q", "q_fp"), "q").withColumnRenamed("c", "q_c")
+    found = named(index, "node")
+    # Searched on: values whose probes and entries are not all of one component.
+    sides = asked.select("part", "value", F.col("q_c").alias("c")).unionByName(found.select("part", "value", "c"))
+    mixed = sides.groupBy("part", "value").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    mixed = cut(mixed.select("part", "value"), "simhash")
+    asked = asked.join(mixed, ["part", "value"], "left_semi")
+    found = found.join(mixed, ["part", "value"], "left_semi")
+    met = asked.alias("p").join(
+        found.alias("x"),
+        (F.col("p.part") == F.col("x.part"))
+        & (F.col("p.value") == F.col("x.value"))
+        & (F.col("q_c") != F.col("c"))
+        & (F.col("q") < F.col("node"))
+        & (F.bit_count(F.col("q_fp").bitwiseXOR(F.col("fp"))) <= k),
     )
-    return met.select(F.col("q").alias("a"), F.col("fp").alias("b")).distinct()
+    rest = verify(_pairs(met.select(F.col("q").alias("a"), F.col("node").alias("b"))))
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(rest))
 
 
-def _partitions(sample: np.ndarray, n: int, k: int) -> tuple[int, list[list[int]]]:
-    """How many partitions, and which bits in each, cost least for the sample's fingerprints."""
-    best = None
-    for m in range(1, k + 2):
-        groups = grouped_bits(sample, m)
-        widths = [len(g) for g in groups]
-        if len(ball(min(widths), max(0, -(-(k + 1) // m) - 1))) > 5000:
-            continue
-        crowd = np.array([n / 2.0**w for w in widths])
-        own = np.ones((len(sample), m))
-        for i, g in enumerate(groups):
-            _, back, count = np.unique(part_value(sample, g), return_inverse=True, return_counts=True)
-            own[:, i] = 1 + (count[back] - 1) * (n / max(len(sample), 1)) + crowd[i]
-        chosen = allocated(own, crowd, widths, k)
-        cost = 2.0 * m
-        for i in range(m):
-            size = np.array([0] + [len(ball(widths[i], t)) for t in range(k + 1)])[chosen[:, i] + 1]
-            cost += float(np.mean(size + np.maximum(size - 1, 0) * crowd[i] + (size > 0) * own[:, i])) if len(sample) else 0
-        if best is None or cost < best[0]:
-            best = (cost, m, groups)
-    return best[1], best[2]
+def _pairs(df: DataFrame) -> DataFrame:
+    return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _alike(docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
+    """Narrows pairs of nodes to those whose shingle sets have at least this Jaccard similarity."""
+
+    def check(pairs: DataFrame) -> DataFrame:
+        pairs = cut(pairs, "simhash")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = nodes.join(ends, "node").select(F.col("least").alias("want"), F.col("node").alias("want_node"))
+
+        def own(batches):
+            for batch in batches:
+                texts, want = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+                held = [np.uint64(_set_name(shingle_hashes(t, width))).astype(np.int64) == w for t, w in zip(texts, want)]
+                yield batch.filter(pa.array(held, pa.bool_()))
+
+        texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["want"])).select(F.col("want_node").alias("node"), "text")
+        texts = cut(texts.mapInArrow(own, "node long, text string").dropDuplicates(["node"]), "simhash")
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+        both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+
+        def alike(batches):
+            for batch in batches:
+                held, last = [], (None, None)
+                for x, y, hub in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(1).to_pylist()):
+                    if last[0] != hub:
+                        last = (hub, np.unique(shingle_hashes(y, width)))
+                    a, b = np.unique(shingle_hashes(x, width)), last[1]
+                    shared = len(np.intersect1d(a, b, assume_unique=True))
+                    held.append(shared >= similarity * (len(a) + len(b) - shared))
+                yield batch.select([0, 1]).filter(pa.array(held, pa.bool_()))
+
+        return both.select("a", "b", "text_a", "text_b").mapInArrow(alike, "a long, b long")
+
+    return check
 
 
 def near_groups(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, k: int = 3
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    k: int = 8,
+    similarity: float | None = 0.8,
 ) -> DataFrame:
-    """``id, fp, component`` for every row; ``component`` is the smallest id reachable by links."""
-    rows = cut(fingerprints(docs, id_col, text_col, width), "simhash")
-    nodes = cut(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash")
-    joined = components(close_pairs(nodes.select("fp"), k))
-    linked = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left")
-    linked = linked.withColumn("root", F.coalesce("component", "fp")).select("fp", "root", "least")
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component"))
-    named = linked.join(smallest, "root").select("fp", "component")
-    return rows.join(named, "fp").select("id", "fp", "component")
+    """``id, fp, component`` for every row; ``component`` is the smallest id reachable by links.
+
+    With ``similarity``, texts link when their fingerprints differ in at most
+    ``k`` bits and their sets of shingles have at least that Jaccard similarity;
+    without it, when fingerprints differ in at most ``k`` bits.
+    """
+    as_sets = similarity is not None
+    rows = cut(fingerprints(docs, id_col, text_col, width, as_sets), "simhash")
+    nodes = cut(rows.groupBy("node", "fp").agg(F.min("id").alias("least")), "simhash")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    verify = _alike(texts, nodes, width, similarity) if as_sets else None
+    joined = linked(nodes.select("node", "fp"), k, verify)
+    named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    named = cut(named.select("node", "root", "least"), "simhash")
+    smallest = named.groupBy("root").agg(F.min("least").alias("component"))
+    return rows.join(named.join(smallest, "root").select("node", "component"), "node").select("id", "fp", "component")
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The documents that stay: of each group, the one with the smallest id.
+
+    Rows that repeat an id that stays, stay with it.
+    """
+    dropped = near_groups(docs, id_col, text_col, **how).where("component is not null and id is distinct from component")
+    dropped = dropped.select(F.col("id").alias("__gone")).distinct()
+    return docs.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
