@@ -38,12 +38,10 @@ def _prefix_hash():
 
 def _refined(rows: DataFrame, digest_all: bool) -> DataFrame:
     """Rows with ``__suspect`` (length and prefix occur twice or more) and ``__sha`` where it was needed."""
-    lengths = rows.groupBy("__len").count().where("count > 1").select("__len")
+    counted = rows.groupBy("__len", _prefix_hash().alias("__prefix")).count()
+    lengths = counted.groupBy("__len").agg(F.sum("count").alias("n")).where("n > 1").select("__len")
     prefixes = (
-        rows.select("__len", "__head")
-        .join(lengths, "__len", "left_semi")
-        .groupBy("__len", _prefix_hash().alias("__prefix"))
-        .count()
+        counted.join(lengths, "__len", "left_semi")
         .where("count > 1")
         .select("__len", "__prefix", F.lit(True).alias("__suspect"))
     )
