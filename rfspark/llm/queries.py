@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, simhash
+from rfspark.llm import exact_dedup, merge_dropout, packing, simhash
 from rfspark.llm.common import LOWER, UPPER, table
 
 
+def tokenizer(name: str) -> str:
+    """Where a public tokenizer's file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merge_dropout.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), rate=0.1, seed=42)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_groups(table(spark, sf_dir, "documents"), width=3, k=2, similarity=None)
     return rows.select(
@@ -25,6 +42,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_vector_packing": op5_vector_packing,
+    "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
