@@ -50,7 +50,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     the place where its words begin (one place more than texts). A null text has
     no words.
     """
-    texts = texts.fill_null("").cast(pa.large_binary())
+    texts = texts.take(pa.array(np.arange(len(texts)))).fill_null("")
     split = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.large_string())))
     flat, starts = split.flatten(), np.asarray(split.offsets)
     starts = starts - starts[0]
@@ -62,6 +62,21 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return np.asarray(coded.indices).astype(np.int64), coded.dictionary, starts.astype(np.int64)
 
 
+def stretches(batch: pa.RecordBatch, column: int, size: int):
+    """A batch in parts of about ``size`` bytes of a text column at most (a longer text is a part of its own).
+
+    Parts are copies that begin at the start of their buffers, which not every
+    Arrow function on strings takes for granted rightly.
+    """
+    lengths = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64) + 1
+    ends = np.cumsum(lengths)
+    if not len(ends):
+        return
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1], size)))
+    for lo, hi in zip(cuts, [*cuts[1:], len(ends)]):
+        yield batch.take(pa.array(np.arange(lo, hi)))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed scrambling of unsigned 64-bit values (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)

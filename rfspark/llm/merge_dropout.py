@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rfspark.llm.common import mix64
+from rfspark.llm.common import mix64, stretches
 
 SPACE = "▁"
 SHORT = 32  # symbols; longer segments go through the heap
@@ -304,21 +304,13 @@ def _keys(ids: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(x) for x in names), np.uint64, len(names))
 
 
-def _some(batch: pa.RecordBatch, column: int):
-    """A batch in stretches of bounded text."""
-    sizes = np.cumsum(np.asarray(pc.binary_length(batch.column(column).fill_null(""))).astype(np.int64) + 1)
-    cuts = np.unique(np.searchsorted(sizes, np.arange(0, sizes[-1], TEXT_BYTES))) if len(sizes) else []
-    for lo, hi in zip(cuts, [*cuts[1:], len(sizes)]):
-        yield batch.slice(lo, hi - lo)
-
-
 def encode(docs: DataFrame, model: str, id_col="doc_id", text_col="text", rate=0.1, seed=0, variants=8) -> DataFrame:
     """``id, ids`` for every row."""
 
     def run(batches):
         coder = MergeDropout(model, rate, seed, variants)
         for batch in batches:
-            for part in _some(batch, 1):
+            for part in stretches(batch, 1, TEXT_BYTES):
                 ids, starts = coder.encode(part.column(1), _keys(part.column(0)))
                 listed = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), listed], ["id", "ids"])
@@ -346,7 +338,7 @@ def round_trip(docs: DataFrame, model: str, id_col="doc_id", text_col="text", ra
     def run(batches):
         coder = MergeDropout(model, rate, seed, variants)
         for batch in batches:
-            for part in _some(batch, 1):
+            for part in stretches(batch, 1, TEXT_BYTES):
                 texts = part.column(1).fill_null("")
                 ids, starts = coder.encode(texts, _keys(part.column(0)))
                 back = coder.decode(ids, starts)
