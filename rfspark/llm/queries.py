@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, merge_dropout, packing, simhash
-from rfspark.llm.common import LOWER, UPPER, table
+from rfspark.llm import exact_dedup, merge_dropout, packing, sharding, simhash, string_kernel
+from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
 
 def tokenizer(name: str) -> str:
@@ -15,6 +15,32 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    rows = sharding.shard(docs, 8, carry=[F.col("doc_id"), crc.alias("text_crc32")])
+    return rows.select(
+        "row.doc_id",
+        "size",
+        "row.text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = string_kernel.fit(docs, labels.where(crc_bucket(F.col("doc_id"), 5) != 0))
+    return string_kernel.scores(docs, machine).select(
+        F.col("id").alias("doc_id"),
+        (crc_bucket(F.col("id"), 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return packing.pack(pieces)
@@ -42,6 +68,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_histogram_sort": op2_histogram_sort,
+    "op4_string_kernel_toxicity": op4_string_kernel_toxicity,
     "op5_vector_packing": op5_vector_packing,
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
