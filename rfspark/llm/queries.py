@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, merge_dropout, packing, sharding, simhash, string_kernel
+from rfspark.llm import exact_dedup, merge_dropout, packing, sharding, simhash, string_kernel, warc
 from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
 
@@ -15,6 +15,16 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    index = warc.build_index(warc.write(pages))
+    asked = warc.keys_of(pages).distinct()
+    records = warc.read(warc.look_up(asked, index))
+    return records.select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
@@ -68,6 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_capture_index": op1_warc_capture_index,
     "op2_histogram_sort": op2_histogram_sort,
     "op4_string_kernel_toxicity": op4_string_kernel_toxicity,
     "op5_vector_packing": op5_vector_packing,
@@ -77,6 +88,16 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc_capture_index": """
+        with p as (select page_id, coalesce(html, '') as x from pages),
+        q as (
+            select page_id, strlen(x) as n, sha256(x) as d, min(page_id) over (partition by x) as first from p
+        )
+        select page_id, n as payload_bytes, d as payload_digest,
+               case when n >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+               case when n >= 100 and page_id <> first then first end as refers_to
+        from q
+    """,
     "op10_exact_dedup": f"""
         with t as (select doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as x from documents)
         select doc_id,
