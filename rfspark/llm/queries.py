@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, merge_dropout, packing, sharding, simhash, string_kernel, warc
+from rfspark.llm import exact_dedup, merge_dropout, packing, pitman_yor, sharding, simhash, string_kernel, warc
 from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
 
@@ -40,6 +40,12 @@ def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    rows = pitman_yor.score(table(spark, sf_dir, "documents"), ~held_out)
+    return rows.withColumnRenamed("id", "doc_id").withColumn("held_out", crc_bucket(F.col("doc_id"), 7) == 2)
+
+
 def op4_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     machine = string_kernel.fit(docs, labels.where(crc_bucket(F.col("doc_id"), 5) != 0))
@@ -80,6 +86,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_histogram_sort": op2_histogram_sort,
+    "op3_pitman_yor": op3_pitman_yor,
     "op4_string_kernel_toxicity": op4_string_kernel_toxicity,
     "op5_vector_packing": op5_vector_packing,
     "op8_merge_dropout": op8_merge_dropout,
