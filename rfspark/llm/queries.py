@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, merge_dropout, packing, pitman_yor, sharding, simhash, string_kernel, warc
+from rfspark.llm import exact_dedup, merge_dropout, packing, pii, pitman_yor, product_quantisation, sharding, simhash, string_kernel, warc
 from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
 
@@ -62,6 +62,22 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = product_quantisation.near_groups(table(spark, sf_dir, "embeddings"), cosine=0.93)
+    return rows.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = pii.find(docs, pii.fit(docs))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        *[f"n_{k}" for k in pii.KINDS],
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = merge_dropout.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), rate=0.1, seed=42)
     return rows.withColumnRenamed("id", "doc_id")
@@ -89,6 +105,8 @@ QUERIES = {
     "op3_pitman_yor": op3_pitman_yor,
     "op4_string_kernel_toxicity": op4_string_kernel_toxicity,
     "op5_vector_packing": op5_vector_packing,
+    "op6_product_quantisation": op6_product_quantisation,
+    "op7_boosted_pii": op7_boosted_pii,
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
