@@ -30,6 +30,7 @@ import bisect
 import gzip
 import hashlib
 import json
+import re
 import uuid
 import zlib
 
@@ -49,7 +50,10 @@ DATE = "2024-01-01T00:00:00Z"  # of captures whose table has no time
 
 
 def url_key(url: str | None) -> str:
-    """The URL with its host reversed (``com,example)/path``), lower-case, without scheme, port 80/443 and fragment."""
+    """The URL with its host reversed (``com,example)/path``), lower-case, without scheme, port 80/443 and fragment.
+
+    Spaces and control characters are escaped: in the index, a key ends at its first space, the lowest character of all.
+    """
     if not url:
         return "-"
     rest = url.split("://", 1)[-1].split("#", 1)[0].lower()
@@ -58,7 +62,8 @@ def url_key(url: str | None) -> str:
     host = host.rsplit("@", 1)[-1]
     name, _, port = host.partition(":")
     name = ",".join(reversed(name.removeprefix("www.").split(".")))
-    return (name + (f":{port}" if port not in ("", "80", "443") else "") + ")" + path).replace(" ", "%20").replace("\n", "%0A")
+    key = name + (f":{port}" if port not in ("", "80", "443") else "") + ")" + path
+    return re.sub("[\0-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", key)
 
 
 def _place(key: str, row) -> str:
