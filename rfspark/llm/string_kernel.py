@@ -140,7 +140,7 @@ def kernel(strings: list[str], landmarks: list[str]) -> np.ndarray:
     marks = np.zeros((len(known), len(landmarks)))
     np.add.at(marks, (back, r), v)
     marks = marks.astype(np.float32)
-    out = np.zeros((len(strings), len(landmarks)))
+    out = np.zeros((len(strings), len(landmarks)), np.float32)
     for at in range(0, len(strings), 1000):
         r, c, v = features(strings[at : at + 1000])
         where = np.minimum(np.searchsorted(known, c), len(known) - 1)
@@ -262,10 +262,10 @@ def train(
     score = np.array([1.0 if w in liked else 0.0 for w in names])
     machine = None
     for turn in range(rounds):
-        value, vector = np.linalg.eigh(kernel(marks, marks))
-        root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T
-        low = np.column_stack([kernel(negative, marks) @ root, np.ones(len(negative))])
-        high = np.column_stack([kernel(names, marks) @ root, np.ones(len(names))])
+        value, vector = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
+        root = (vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T).astype(np.float32)
+        low = np.column_stack([kernel(negative, marks) @ root, np.ones(len(negative), np.float32)])
+        high = np.column_stack([kernel(names, marks) @ root, np.ones(len(names), np.float32)])
         chosen = [place[max(words, key=lambda w: score[place[w]])] for words in positive]
         at, count = np.unique(chosen, return_counts=True)
         x = np.vstack([low, high[at]])
@@ -341,8 +341,9 @@ def fit(
     if len(sizes) < 2:
         return constant(float(1 in sizes))
     place = F.pmod(F.xxhash64("id", F.lit("texts")), F.lit(1 << 30))
-    limit = {k: min(1 << 30, int((1 << 30) * texts / n)) for k, n in sizes.items()}  # about ``texts`` of each
-    told = told.where(place < F.when(F.col("toxic") == 1, limit[1]).otherwise(limit[0]))
+    one, other = (told.where(F.col("toxic") == k).orderBy(place, "id").limit(texts) for k in (0, 1))
+    # 2 * texts short rows at most, so they are sent to the texts and not the texts to them.
+    told = F.broadcast(cut(one.unionByName(other), "toxicity"))
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where("text is not null")
     rows = cut(rows.join(told, "id").select("id", "toxic", "text"), "toxicity")
 
