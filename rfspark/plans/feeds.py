@@ -201,11 +201,10 @@ def late(spark, sf):
     "t5_enriched_packets",
     f"""WITH {PKT}, {HEALTH}, v AS (SELECT device_id, t, arg_min(ok, seq) AS ok FROM (SELECT device_id, "at" AS t, seq, errors_per_second < 0.5 AND coalesce(usb_overflows_per_second < 0.5, true) AS ok FROM health) GROUP BY 1, 2)
 SELECT p.stream_id AS device_id, p.seq, CASE WHEN v.ok IS NULL OR p.start_time >= v.t + 21600000000 THEN 'unknown' WHEN v.ok THEN 'downstream' ELSE 'device' END AS blame
-FROM (SELECT * FROM pkt WHERE payload = 'lost' OR seq % 2 = 0) p ASOF LEFT JOIN v ON v.device_id = p.stream_id AND p.start_time >= v.t""",
+FROM pkt p ASOF LEFT JOIN v ON v.device_id = p.stream_id AND p.start_time >= v.t""",
 )
 def enriched(spark, sf):
-    b = live_packets(spark, sf).filter("payload = 'lost' or seq % 2 = 0")
-    marks = b.select(F.col("stream_id").alias("device_id"), F.col("start_time").alias("at"), "seq")
+    marks = live_packets(spark, sf).select(F.col("stream_id").alias("device_id"), F.col("start_time").alias("at"), "seq")
     h = health(spark, sf).withColumn("losing_nothing", losing_nothing())
     spans = stats.health_intervals(h, 6 * 3600 * 1000000, DAY, 5 * DAY)
     return run(stats.enrich_stream(marks, spans, DAY), spark, "enriched").select("device_id", "seq", "blame")

@@ -102,11 +102,11 @@ def channel_power(spark, sf):
 
 @query(
     "p6_marker_values",
-    f"""WITH {FRAME} SELECT stream_id, seq, 'marker ' || bin AS marker, level_db AS value FROM frame WHERE bin < 4 AND seq % 3 <> 0""",
+    f"""WITH {FRAME} SELECT stream_id, seq, 'marker ' || bin AS marker, level_db AS value FROM frame WHERE seq % 3 <> 0""",
 )
 def markers(spark, sf):
     names = F.transform(
-        F.sequence(F.lit(0), F.lit(3)),
+        F.sequence(F.lit(0), F.size("bins") - 1),
         lambda k: F.struct(
             F.concat(F.lit("marker "), k.cast("string")).alias("name"),
             (k * 1e6).alias("startFrequency"),
@@ -121,7 +121,7 @@ def markers(spark, sf):
         edge.alias("startFrequency"),
         edge.alias("endFrequency"),
         names.alias("categories"),
-        F.slice("bins", 1, 4).alias("values"),
+        F.col("bins").alias("values"),
     )
     return sp.marker_values(p).select("stream_id", "seq", "marker", "value")
 

@@ -9,6 +9,7 @@ a whole valid header of its own right at a cut.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ from rfspark.sources.files import filesystem, listed
 
 SCHEMA = "file string, seq bigint, header string, payload binary, rejected bigint, error string"
 RECORD, LINE = 0x1E, 0x0A
+OPENING = re.compile(rb'\{[ \t\r\n]*["}]')
 READ_BYTES = 1 << 20
 BATCH_BYTES = 32 << 20
 
@@ -82,14 +84,16 @@ class Framer:
         return bool(got)
 
     def terminator(self, at: int) -> int:
-        """Place of the separator after ``at``; -1 at the end of the file."""
+        """Place of the separator after ``at``; -1 at the end of the file, -2 if none is near enough for a header."""
         look = at
         while True:
             ends = [e for e in (self.buf.find(RECORD, look), self.buf.find(LINE, look)) if e >= 0]
             if ends:
                 return min(ends)
             look, shift = len(self.buf), self.pos
-            if look - at > MAX_HEADER_BYTES or not self.more():
+            if look - at > MAX_HEADER_BYTES:
+                return -2
+            if not self.more():
                 return -1
             at, look = at - (shift - self.pos), look - (shift - self.pos)
 
@@ -106,10 +110,24 @@ class Framer:
                 return
             self.pos = at
             end = self.terminator(at)
-            if end < 0:
-                return
             at, header = self.pos, None
+            if end == -1:
+                yield self.base + at, None, b"", rejected, "header cut short by the end of the file"
+                return
+            if end == -2:
+                yield self.base + at, None, b"", rejected, "no header ends within the cap"
+                # Nor does one that begins earlier than the cap before what was searched.
+                self.pos = max(at + 1, len(self.buf) - MAX_HEADER_BYTES)
+                rejected = 0
+                continue
             while 0 <= at < end and self.base + at < self.stop:
+                # Braces that cannot open a header are passed over without a look at what follows.
+                opens = OPENING.search(self.buf, at, end)
+                here = opens.start() if opens else end
+                rejected += self.buf.count(b"{", at, here)
+                at = here
+                if at >= end or self.base + at >= self.stop:
+                    break
                 raw = bytes(self.buf[at:end])
                 header = header_of(raw)
                 if header is not None:
@@ -137,9 +155,10 @@ class Framer:
                 size, error = 0, "payload size over the cap"
             while len(self.buf) - self.pos < size:
                 if not self.more():
-                    return
+                    error = error or "payload shorter than declared"
+                    break
             payload = bytes(self.buf[self.pos : self.pos + size])
-            self.pos += size
+            self.pos += len(payload)
             yield place, raw.decode("utf-8", "replace"), payload, rejected, error
             rejected = 0
 
@@ -170,7 +189,7 @@ class DumpReader(DataSourceReader):
             with system.open_input_file(inner) as f:
                 for seq, header, payload, rejected, error in Framer(f, start, stop, self.width).packets():
                     rows.append((name, seq, header, payload, rejected, error))
-                    held += len(payload) + len(header)
+                    held += len(payload) + len(header or "")
                     if held > BATCH_BYTES:
                         yield self.batch(rows)
                         rows, held = [], 0

@@ -27,12 +27,19 @@ class Files(InputPartition):
 
 
 def listed(path: str, suffix: str = "") -> list:
-    """Paths and sizes of the data files below a folder (or of one file), in order."""
+    """URIs and sizes of the data files below a folder (or of one file), in order.
+
+    A name keeps the scheme and the host of the path it was listed under, so a
+    task opens it in the same store.
+    """
     system, inner = filesystem(path)
     info = system.get_file_info(inner)
-    found = [info] if info.is_file else system.get_file_info(fs.FileSelector(inner, recursive=True))
+    if info.is_file:
+        return [(path, info.size)] if path.endswith(suffix) else []
+    base = inner.rstrip("/")
+    found = system.get_file_info(fs.FileSelector(inner, recursive=True))
     return sorted(
-        (f.path, f.size)
+        (path.rstrip("/") + f.path[len(base) :], f.size)
         for f in found
         if f.is_file and f.path.endswith(suffix) and not f.base_name.startswith((".", "_"))
     )

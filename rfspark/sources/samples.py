@@ -15,6 +15,8 @@ from rfspark.operators.decode import decode_scalars, decompress_spectra
 from rfspark.operators.scan import DEFAULT_BLOCK, ordered_scan, total_before
 from rfspark.sources.files import filesystem
 
+BATCH_BYTES = 32 << 20  # read into one batch, about
+SPREAD_BYTES = 64 << 20  # of one file, read by one task
 IQ_PAYLOAD, SPECTRA_PAYLOAD = 2, 3
 FLOAT_TYPES, INT16_TYPES = [5, 11], [2, 8]
 MAX_COMPRESSED_BYTES = 16 << 20
@@ -34,7 +36,8 @@ def _pieces(ranges: DataFrame, count: Column, block: int) -> DataFrame:
     outer = outer.withColumn("__far", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / far)))).withColumn(
         "__left", F.least(F.lit(far), F.col("__n") - F.col("__far") * far)
     )
-    outer = outer.repartition("file", "__far")
+    # A far piece is long and many chunks have only one, so they are dealt by their place in the file too.
+    outer = outer.repartition("file", "__far", *[c for c in ("chunk_offset",) if c in outer.columns])
     inner = outer.withColumn("__near", F.explode(F.sequence(F.lit(0), F.floor((F.col("__left") - 1) / block))))
     start = F.col("__far") * far + F.col("__near") * block
     return (
@@ -49,46 +52,81 @@ def _read(f, at: int, size: int) -> bytes:
     return f.read(size)
 
 
+class Opened:
+    """The file read last stays open for the next range of it."""
+
+    def __init__(self):
+        self.name, self.file = None, None
+
+    def read(self, name: str, at: int, size: int) -> bytes:
+        if name != self.name:
+            self.close()
+            system, inner = filesystem(name)
+            self.file, self.name = system.open_input_file(inner), name
+        return _read(self.file, at, size)
+
+    def close(self):
+        if self.file is not None:
+            self.file.close()
+        self.name, self.file = None, None
+
+
+def _parts(batch, sizes):
+    """A batch of ranges in parts whose bytes fit in memory together; a large range is a part of its own."""
+    part = np.cumsum(np.array([s or 0 for s in sizes], np.int64)) // BATCH_BYTES
+    first = np.flatnonzero(np.diff(part, prepend=-1))
+    for lo, hi in zip(first, [*first[1:], len(part)]):
+        yield batch.slice(int(lo), int(hi - lo))
+
+
 def read_pairs(ranges: DataFrame) -> DataFrame:
-    """Read I/Q ranges: ``file, at`` (byte), ``n, int16, scale``; adds ``i, q``."""
+    """Read I/Q ranges: ``file, at`` (byte), ``n, int16, scale``; adds ``n, i, q`` and ``read_error``.
+
+    A range that goes past the end of its file gives the whole samples there are, and an error.
+    """
 
     def run(batches):
-        opened, name = None, None
+        opened = Opened()
         for batch in batches:
-            lanes, counts = [], []
-            cols = (batch.column(c).to_pylist() for c in ("file", "at", "n", "int16", "scale"))
-            for path, at, n, short, scale in zip(*cols):
-                if path != name:
-                    if opened is not None:
-                        opened.close()
-                    system, inner = filesystem(path)
-                    opened, name = system.open_input_file(inner), path
-                raw = _read(opened, at, n * (4 if short else 8))
-                raw = raw[: len(raw) // (4 if short else 8) * (4 if short else 8)]
-                x = np.frombuffer(raw, "<i2" if short else "<f4").astype(np.float32)
-                if short:
-                    x = x * np.float32(scale)
-                else:
-                    x = np.where(np.isfinite(x), x, np.float32(0))
-                lanes.append(x)
-                counts.append(x.size // 2)
-            flat = np.concatenate(lanes) if lanes else np.zeros(0, np.float32)
-            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            kept = batch.drop_columns(["int16", "scale", "at", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *kept.columns,
-                    pa.array(counts, pa.int32()),
-                    pa.ListArray.from_arrays(ends, pa.array(flat[0::2].copy())),
-                    pa.ListArray.from_arrays(ends, pa.array(flat[1::2].copy())),
-                ],
-                names=[*kept.schema.names, "n", "i", "q"],
-            )
-        if opened is not None:
-            opened.close()
+            sizes = [n * (4 if short else 8) for n, short in zip(*(batch.column(c).to_pylist() for c in ("n", "int16")))]
+            for part in _parts(batch, sizes):
+                yield pairs(part, opened)
+        opened.close()
+
+    def pairs(batch, opened):
+        lanes, counts, errors = [], [], []
+        cols = (batch.column(c).to_pylist() for c in ("file", "at", "n", "int16", "scale"))
+        for path, at, n, short, scale in zip(*cols):
+            width = 4 if short else 8
+            raw = opened.read(path, at, n * width)
+            errors.append(None if len(raw) == n * width else "the file ends inside this range")
+            raw = raw[: len(raw) // width * width]
+            x = np.frombuffer(raw, "<i2" if short else "<f4").astype(np.float32)
+            x = x * np.float32(scale) if short else np.where(np.isfinite(x), x, np.float32(0))
+            lanes.append(x)
+            counts.append(x.size // 2)
+        flat = np.concatenate(lanes) if lanes else np.zeros(0, np.float32)
+        ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+        kept = batch.drop_columns(["int16", "scale", "at", "n"])
+        return pa.RecordBatch.from_arrays(
+            [
+                *kept.columns,
+                pa.array(counts, pa.int32()),
+                pa.ListArray.from_arrays(ends, pa.array(flat[0::2].copy())),
+                pa.ListArray.from_arrays(ends, pa.array(flat[1::2].copy())),
+                pa.array(errors, pa.string()),
+            ],
+            names=[*kept.schema.names, "n", "i", "q", "read_error"],
+        )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema if f.name not in ("int16", "scale", "at", "n")]
-    return ranges.mapInArrow(run, ", ".join(fields) + ", n int, i array<float>, q array<float>")
+    return ranges.mapInArrow(run, ", ".join(fields) + ", n int, i array<float>, q array<float>, read_error string")
+
+
+def _spread(ranges: DataFrame) -> DataFrame:
+    """Ranges over tasks by file and stretch of the file, in order inside a task: one long file is many tasks."""
+    dealt = ranges.withColumn("__stretch", F.floor(F.col("at") / SPREAD_BYTES)).repartition("file", "__stretch")
+    return dealt.drop("__stretch").sortWithinPartitions("file", "at")
 
 
 def with_first_sample(samp: DataFrame, block=DEFAULT_BLOCK << 10) -> DataFrame:
@@ -146,7 +184,7 @@ def load_iq(index: DataFrame, block: int = 65536) -> DataFrame:
         "int16",
         "scale",
     )
-    return read_pairs(ranges.sortWithinPartitions("file", "at"))
+    return read_pairs(_spread(ranges))
 
 
 def load_raw_iq(tails: DataFrame, block: int = 65536) -> DataFrame:
@@ -160,21 +198,22 @@ def load_raw_iq(tails: DataFrame, block: int = 65536) -> DataFrame:
         F.lit(False).alias("int16"),
         F.lit(1.0).alias("scale"),
     )
-    return read_pairs(ranges.sortWithinPartitions("file", "at"))
+    return read_pairs(_spread(ranges))
 
 
 def read_payloads(ranges: DataFrame) -> DataFrame:
-    """Read ``size`` bytes at ``at`` of ``file`` into ``payload``."""
+    """Read ``bytes`` bytes at ``at`` of ``file`` into ``payload``; it is null where ``bytes`` is."""
 
     def run(batches):
+        opened = Opened()
         for batch in batches:
-            out = []
-            for path, at, size in zip(*(batch.column(c).to_pylist() for c in ("file", "at", "bytes"))):
-                system, inner = filesystem(path)
-                with system.open_input_file(inner) as f:
-                    out.append(_read(f, at, size))
-            kept = batch.drop_columns(["at", "bytes"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out, pa.binary())], names=[*kept.schema.names, "payload"])
+            for part in _parts(batch, batch.column("bytes").to_pylist()):
+                asked = zip(*(part.column(c).to_pylist() for c in ("file", "at", "bytes")))
+                out = [None if size is None else opened.read(path, at, size) for path, at, size in asked]
+                kept = part.drop_columns(["at", "bytes"])
+                names = [*kept.schema.names, "payload"]
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out, pa.binary())], names=names)
+        opened.close()
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema if f.name not in ("at", "bytes")]
     return ranges.mapInArrow(run, ", ".join(fields) + ", payload binary")
@@ -195,9 +234,18 @@ def load_compressed_spectra(samp: DataFrame) -> DataFrame:
         F.col("sample_size").alias("sampleSize"),
         F.lit(1).alias("sampleDepth"),
         (F.col("chunk_offset") + F.col("header_size")).alias("at"),
-        F.when(room <= MAX_COMPRESSED_BYTES, room).otherwise(0).alias("bytes"),
+        room.alias("declared"),
+        F.when(room <= MAX_COMPRESSED_BYTES, room).alias("bytes"),
+    )
+    frames = decompress_spectra(read_payloads(_spread(ranges)).withColumn("held", F.octet_length("payload")))
+    wrong = (
+        F.when(F.col("held").isNull(), "compressed chunk over the size cap")
+        .when(F.col("held") == 0, "compressed chunk without data")
+        .when(F.col("held") < F.col("declared"), "the file ends inside this chunk")
     )
-    return decompress_spectra(read_payloads(ranges.repartition("file", "chunk_offset")))
+    return frames.withColumns(
+        {"decode_error": F.coalesce(wrong, "decode_error"), "values": F.when(wrong.isNull(), F.col("values"))}
+    ).drop("held", "declared")
 
 
 def load_spectra(samp: DataFrame) -> DataFrame:
@@ -216,4 +264,4 @@ def load_spectra(samp: DataFrame) -> DataFrame:
         (F.col("chunk_offset") + F.col("header_size")).alias("at"),
         (fits * width).alias("bytes"),
     )
-    return decode_scalars(read_payloads(ranges.repartition("file", "chunk_offset")))
+    return decode_scalars(read_payloads(_spread(ranges)))

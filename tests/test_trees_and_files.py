@@ -69,11 +69,22 @@ def test_readings_come_from_the_first_group_of_a_name(spark):
     assert len(r) == 1 and r[0].errors_per_second == 1.0 and r[0].usb_overflows_per_second is None
 
 
-def test_deep_trees_stop_at_the_bound(spark):
-    tree = number("leaf", 1.0)
-    for k in range(30):
+def test_deep_trees_come_whole(spark):
+    tree = number("leaf", 1.5)
+    for k in range(200):
         tree = group(f"g{k}", tree)
-    assert nodes(spark, tree).agg(F.max("depth")).first()[0] == hl.MAX_DEPTH
+    rows = nodes(spark, tree)
+    assert rows.count() == 201
+    leaf = rows.filter("name = 'leaf'").first()
+    assert leaf.depth == 200 and leaf.value_num == 1.5 and leaf.parent_name == "g0"
+
+
+def test_what_cannot_be_read_as_a_tree(spark):
+    texts = ["", "[1]", "{", '{"name":"x"}', None, '{"type":"group","items":[null,{"type":"bool","value":true}]}', "[" * 200_000]
+    df = spark.createDataFrame([(i, 1, 0, t) for i, t in enumerate(texts)], "snapshot long, device_id long, at long, tree string")
+    got = sorted((r.snapshot, r.depth, r.type or "", r.value_str or "") for r in hl.flatten_tree(df).collect())
+    assert got[:3] == [(5, 0, "group", ""), (5, 1, "", ""), (5, 1, "bool", "true")]
+    assert all(r[:3] == (6, 0, "error") for r in got[3:])
 
 
 def test_masked_options_keep_their_numbers(spark):
