@@ -102,7 +102,10 @@ def capture_metadata(chunks: DataFrame) -> DataFrame:
     """One record per file: rate, centre, span, samples and times, with their fallbacks.
 
     Each kind of chunk is brought to one row per file before anything is joined.
+    Every file has a record; one without a header chunk, without a stream, or
+    with chunks that cannot be read says so in ``error``.
     """
+    files = chunks.groupBy("file").agg(F.count("error").alias("n_unreadable"))
     head = view(chunks, "DSFH").groupBy("file").agg(F.min_by("creation_time", "chunk_offset").alias("creation"))
     strm = view(chunks, "STRM").groupBy("file").agg(
         F.min_by(F.struct("stream_id", "start_time", "capture_start"), "chunk_offset").alias("strm"),
@@ -140,8 +143,8 @@ def capture_metadata(chunks: DataFrame) -> DataFrame:
             "chunk_offset",
         ).alias("iq")
     )
-    out = head.join(strm, "file")
-    for part in (subs, tail, foot, ants, previews, types, sums):
+    out = files
+    for part in (head, strm, subs, tail, foot, ants, previews, types, sums):
         out = out.join(part, "file", "left")
     return _derived(out.join(described, ["file", "sub_stream_id"], "left"))
 
@@ -160,9 +163,11 @@ def _derived(c: DataFrame) -> DataFrame:
     ns = lambda s: F.greatest(F.lit(0), (s * GIGA).cast("long"))
     c = c.withColumns(
         {
-            "error": F.when(own & F.col("iq").isNull(), "sub-stream of the samples is not described").when(
-                sampled & ~own & F.col("tail").isNull(), "no samples of the primary stream and no stream tail"
-            ),
+            "error": F.when(F.col("creation").isNull(), "no readable file header")
+            .when(F.col("strm").isNull(), "no readable stream header")
+            .when(own & F.col("iq").isNull(), "sub-stream of the samples is not described")
+            .when(sampled & ~own & F.col("tail").isNull(), "no samples of the primary stream and no stream tail")
+            .when(F.col("n_unreadable") > 0, "chunks that cannot be read"),
             "sample_rate_hz": rate,
             "center_frequency_hz": F.coalesce(F.when(own, F.col("iq.centre")), F.col("first_sub.centre")),
             "total_samples": F.when(declared == 0, summed).otherwise(declared),
@@ -183,7 +188,9 @@ def _derived(c: DataFrame) -> DataFrame:
         F.col("__start").alias("start_time_ns"),
         F.when((tail_end == 0) & known, derived).otherwise(tail_end).alias("end_time_ns"),
         "creation_time_s",
-        "num_streams",
+        F.coalesce("num_streams", F.lit(0)).alias("num_streams"),
+        F.col("creation").isNotNull().alias("has_header"),
+        "n_unreadable",
         F.col("strm.stream_id").alias("primary_stream_id"),
         "sub_stream_id",
         F.when(sampled, "IQ_SAMPLES").otherwise("RAW_IQ").alias("stream_type"),
@@ -258,6 +265,9 @@ def capture_findings(captures: DataFrame, sstr: DataFrame, anta: DataFrame, sprv
     has_subs = F.col("n_sub_streams") > 0
     tail = F.col("tail").isNotNull()
     own = [
+        ("error", ~F.col("has_header"), "no readable file header"),
+        ("error", F.col("num_streams") == 0, "no readable stream header"),
+        ("error", F.col("n_unreadable") > 0, "chunks that cannot be read"),
         ("error", (F.col("end_time_ns") > 0) & (F.col("end_time_ns") <= F.col("start_time_ns")), "end time is not after start time"),
         (
             "error",

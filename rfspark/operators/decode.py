@@ -203,26 +203,20 @@ def rice_values(data: bytes) -> np.ndarray:
 
 
 def unfold(blocks: np.ndarray) -> np.ndarray:
-    """Inverse wavelet of stacked ``(block, row, column)`` grids, single precision."""
-    _, rows, cols = blocks.shape
-    half = np.float32(np.sqrt(np.float32(0.5)))
-    step = 1
-    while rows & (2 * step - 1) == 0:
-        step *= 2
-    while cols & (2 * step - 1) == 0:
-        step *= 2
-
-    def pair(a, b):
-        a[...], b[...] = half * (a + b), half * (a - b)
-
-    while step > 1:
-        step //= 2
-        if cols & (2 * step - 1) == 0:
-            grid = blocks[:, ::step, :]
-            pair(grid[:, :, :: 2 * step], grid[:, :, step :: 2 * step])
-        if rows & (2 * step - 1) == 0:
-            grid = blocks[:, :, ::step]
-            pair(grid[:, :: 2 * step], grid[:, step :: 2 * step])
+    """Inverse wavelet of stacked ``(block, row, column)`` grids, in place and in single precision.
+
+    An axis has a level for each power of two that divides its length twice over.
+    Levels are undone from the coarsest; where both axes have one, values along a
+    row go first. A level of one axis touches only every ``step``-th line of the other.
+    """
+    levels = [
+        (1 << k, axis) for axis, n in enumerate(blocks.shape[1:], 1) for k in range(n.bit_length()) if n % (2 << k) == 0
+    ]
+    scale = np.float32(np.sqrt(np.float32(0.5)))
+    for step, axis in sorted(levels, reverse=True):
+        lanes = np.moveaxis(blocks, axis, -1)[:, ::step]
+        low, high = lanes[..., :: 2 * step], lanes[..., step :: 2 * step]
+        low[...], high[...] = scale * (low + high), scale * (low - high)
     return blocks
 
 

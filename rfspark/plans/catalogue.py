@@ -22,8 +22,15 @@ def query(name, sql):
     return keep
 
 
+_tables: dict = {}
+
+
 def _chunks(spark, sf):
-    return ch.scan_chunks(spark, capture_lake(spark, sf), ".rf")
+    """The chunk table of a scale's capture files, written once per session."""
+    lake = capture_lake(spark, sf)
+    if lake not in _tables:
+        _tables[lake] = ch.chunk_table(spark, lake, ".rf")
+    return _tables[lake]
 
 
 def numbered(df):
@@ -47,7 +54,7 @@ s AS (SELECT v.*, k % 3 = 2 AS short FROM v WHERE number % 4 <> 3)"""
 SELECT number, id, CAST(n AS BIGINT) AS chunks, CAST(bytes AS BIGINT) AS bytes FROM c""",
 )
 def chunk_catalogue(spark, sf):
-    c = numbered(_chunks(spark, sf))
+    c = numbered(ch.scan_chunks(spark, capture_lake(spark, sf), ".rf"))
     return c.groupBy("number", "id").agg(F.count("*").alias("chunks"), F.sum("size").alias("bytes"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from rfspark.functions.tables import CHUNK_IDS, MAX_CHUNK_BYTES
+from rfspark.session import shared_folder
 from rfspark.sources.files import filesystem, listed, packed
 
 SCHEMA = (
@@ -23,7 +24,7 @@ SCHEMA = (
 )
 HEADER = struct.Struct("<4sIIHH")
 KNOWN = re.compile(b"|".join(i.encode() for i in CHUNK_IDS))
-RESYNC_BLOCK = 64 * 1024
+SEARCH_BYTES = 1 << 20
 TAIL_BYTES = 1024
 MAX_TYPE_DEPTH = 32
 MAX_TYPE_FIELDS = 4096
@@ -141,16 +142,17 @@ def parse_fields(ident: str, size: int, body: bytes) -> dict:
 
 
 def _resync(f, at: int, end: int) -> int:
-    """Place of the next known chunk id, or the end."""
-    while at < end:
-        f.seek(at)
-        block = f.read(min(RESYNC_BLOCK, end - at))
-        hit = KNOWN.search(block)
-        if hit:
-            return at + hit.start()
-        if len(block) < 4:
-            return end
-        at += len(block) - 3
+    """Place of the first known chunk id from ``at`` on, or the end.
+
+    Read straight on; the last three bytes are kept, as an id may lie across two reads.
+    """
+    f.seek(at)
+    kept = b""
+    while block := f.read(SEARCH_BYTES):
+        window = kept + block
+        if hit := KNOWN.search(window):
+            return min(at - len(kept) + hit.start(), end)
+        at, kept = at + len(block), window[-3:]
     return end
 
 
@@ -238,6 +240,17 @@ def scan_chunks(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     return spark.read.format("rf_chunks").option("suffix", suffix).load(path)
 
 
+def chunk_table(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """The chunks of all files as a written table, partitioned by kind.
+
+    The files are hopped through once; a view of a kind then reads that kind only.
+    """
+    folder = shared_folder(spark, "chunks")
+    found = scan_chunks(spark, path, suffix)
+    found.write.partitionBy("id").parquet(folder)
+    return spark.read.schema(found.schema).parquet(folder).select(*found.columns)
+
+
 VIEWS = {
     "DSFH": "creation_time double",
     "DSFT": "completion_time double, stream_offset bigint, num_streams bigint",

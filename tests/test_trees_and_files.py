@@ -58,9 +58,9 @@ def test_capabilities(spark):
 
 def test_loss_verdicts(spark):
     r = hl.loss_verdict(hl.block_health(nodes(spark, HEALTH))).first()
-    assert r.losing_nothing is False and r.summary == "Block: state Running, 0 errors/s, 0.7 DSP overflows/s"
+    assert r.losing_nothing is False and r.summary == "Block [Running] per second: lost=0; dsp=0.7"
     empty = hl.loss_verdict(hl.block_health(nodes(spark, group("h", group("B", group("status")))))).first()
-    assert empty.losing_nothing is None and empty.summary == "B: no counters reported"
+    assert empty.losing_nothing is None and empty.summary == "B [?]"
 
 
 def test_readings_come_from_the_first_group_of_a_name(spark):
@@ -160,3 +160,18 @@ def test_links_stop_at_cycles_and_holes(spark):
 def test_sdk_options_say_what_is_open(spark):
     got = spark.range(1).select(hl.sdk_options(F.lit("a;; b;c"), F.lit(4).cast("long")).alias("o")).first().o
     assert [(o["index"], o.label, o.enabled) for o in got] == [(0, "a", True), (2, "b", False), (3, "c", True)]
+
+
+def test_broken_files_are_in_the_report(spark, lake):
+    chunks = ch.scan_chunks(spark, lake[0], ".rf")
+    names = sorted(r.file for r in chunks.filter("id = 'DSFT'").select("file").distinct().collect())[:3]
+    broken = chunks.filter(
+        ~((F.col("file") == names[0]) & (F.col("id") == "DSFH")) & ~((F.col("file") == names[1]) & (F.col("id") == "STRM"))
+    ).withColumn("error", F.when((F.col("file") == names[2]) & (F.col("id") == "DSFT"), "broken").otherwise(F.col("error")))
+    meta = ca.capture_metadata(broken)
+    assert meta.count() == chunks.select("file").distinct().count()
+    found = ca.capture_findings(meta, *(ch.view(broken, k).withColumn("k", F.lit(0)) for k in ("SSTR", "ANTA", "SPRV")))
+    texts = {(r.file, r.text) for r in found.filter("severity = 'error'").collect()}
+    assert {(names[0], "no readable file header"), (names[1], "no readable stream header"), (names[2], "chunks that cannot be read")} <= texts
+    report = {r.file: r.valid for r in ca.validate_captures(meta, found).collect()}
+    assert not any(report[n] for n in names)
