@@ -45,6 +45,8 @@ def _refined(rows: DataFrame, digest_all: bool) -> DataFrame:
         .where("count > 1")
         .select("__len", "__prefix", F.lit(True).alias("__suspect"))
     )
+    # Written first, so that the join's two sides are plain shuffles, whose hot keys Spark can split.
+    prefixes = cut(prefixes, "exact")
     rows = rows.withColumn("__prefix", _prefix_hash()).drop("__head").join(prefixes, ["__len", "__prefix"], "left")
     suspect = F.coalesce("__suspect", F.lit(False))
     digest = F.sha2(lowered(F.col("__text")), 256)
@@ -74,6 +76,7 @@ def _decided(rows: DataFrame, carry) -> DataFrame:
         .groupBy("__len", "__sha")
         .agg(F.max("__id").alias("__keep"), F.count(F.lit(1)).alias("__n"))
     )
+    same = cut(same, "exact")
     names = ["__id", "__len", "__sha", *carry]
     alone = rows.where("not __suspect").select(*names, F.col("__id").alias("__keep"), F.lit(1).cast("long").alias("__n"))
     shared = rows.where("__suspect").join(same, ["__len", "__sha"]).select(*names, "__keep", "__n")
@@ -85,6 +88,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = _refined(_signed(docs, id_col, text_col, [pack_row(docs)]), False)
     rows = cut(rows.select("__id", "__row", "__len", "__sha", "__suspect"), "exact")
     same = rows.where("__suspect").groupBy("__len", "__sha").agg(F.max("__id").alias("__keep"))
+    same = cut(same, "exact")
     kept = (
         rows.where("__suspect")
         .join(same, ["__len", "__sha"])
