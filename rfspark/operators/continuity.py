@@ -418,16 +418,22 @@ def report_schedule(classified: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
     ).withColumn("nth", F.when(kind == "drop", F.col("drops")).otherwise(F.col("backward_steps")))
 
 
-def stream_accounting(packets: DataFrame) -> DataFrame:
-    """What each stream delivered, by payload, with rates over its own span."""
+def stream_accounting(packets: DataFrame, ticks: float = 1e6) -> DataFrame:
+    """What each stream delivered, by payload, with rates over its own span.
+
+    ``ticks``: units of time in a second. A stream without a span has no rates.
+    """
     payload = F.col("payload")
-    span = (F.max("end_time") - F.min("start_time")).cast("double")
-    return packets.groupBy("stream_id").agg(
+    sums = packets.groupBy("stream_id").agg(
         F.count_if(payload == "iq").alias("iq_packets"),
         F.count_if(~payload.isin("iq", "lost")).alias("non_iq_skipped"),
         F.count_if(payload == "lost").alias("lost_to_parse_errors"),
         F.coalesce(F.sum(F.when(payload == "iq", F.col("samples"))), F.lit(0)).alias("iq_samples"),
-        span.alias("span"),
+        (F.max("end_time") - F.min("start_time")).cast("double").alias("span"),
+    )
+    seconds = F.when(F.col("span") > 0, F.col("span") / F.lit(float(ticks)))
+    return sums.withColumns(
+        {"packets_per_second": F.col("iq_packets") / seconds, "samples_per_second": F.col("iq_samples") / seconds}
     )
 
 

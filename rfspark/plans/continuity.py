@@ -305,10 +305,12 @@ def report_schedule(spark, sf):
 
 @query(
     "g13_stream_accounting",
-    f"""WITH {PKT} SELECT stream_id, count(*) FILTER (payload = 'iq') AS iq_packets,
+    f"""WITH {PKT}, a AS (SELECT stream_id, count(*) FILTER (payload = 'iq') AS iq_packets,
   count(*) FILTER (payload NOT IN ('iq', 'lost')) AS non_iq_skipped, count(*) FILTER (payload = 'lost') AS lost_to_parse_errors,
   CAST(coalesce(sum(samples) FILTER (payload = 'iq'), 0) AS BIGINT) AS iq_samples,
-  CAST(max(end_time) - min(start_time) AS DOUBLE) AS span FROM pkt GROUP BY 1""",
+  CAST(max(end_time) - min(start_time) AS DOUBLE) AS span FROM pkt GROUP BY 1)
+SELECT *, CASE WHEN span > 0 THEN iq_packets / (span / 1000000::DOUBLE) END AS packets_per_second,
+  CASE WHEN span > 0 THEN iq_samples / (span / 1000000::DOUBLE) END AS samples_per_second FROM a""",
 )
 def accounting(spark, sf):
     return ct.stream_accounting(packets(spark, sf))
