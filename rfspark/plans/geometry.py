@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rfspark.functions import tables as t
 from rfspark.operators import geometry as g
 from rfspark.plans.views import BAND, PKT, bands, packets, table
 
@@ -121,7 +120,7 @@ def for_bandwidth(spark, sf):
 
 @query(
     "m6_snap_to_ladder_top",
-    f"""WITH c AS (SELECT unnest([{", ".join(str(v) for v in dict.fromkeys(t.RECEIVER_CLOCKS_HZ.values()))}]::DOUBLE[]) / 1.5::DOUBLE AS top),
+    f"""WITH c AS (SELECT unnest([46080000, 61440000, 76800000, 92160000, 122880000, 184320000, 245760000, 491520000]::DOUBLE[]) / 1.5::DOUBLE AS top),
 q AS (SELECT o_orderkey, o_totalprice * 500 AS m FROM orders)
 SELECT o_orderkey, coalesce(min(top) FILTER (abs(m - top) / top <= 0.01::DOUBLE), -1.0::DOUBLE) AS top_hz FROM q, c GROUP BY 1""",
 )
