@@ -164,3 +164,10 @@ def test_near_groups_by_similarity(spark):
     assert left.columns == docs.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 10, 11, 12, 20, 22]
     assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+def test_an_id_with_two_texts_is_not_lost_with_one_of_them(spark):
+    rng = random.Random(6)
+    first, other = " ".join(words(rng, 60)), " ".join(words(rng, 60))
+    docs = spark.createDataFrame([(1, first), (2, first), (2, other)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.dedup(docs).collect()) == [1, 2, 2]
