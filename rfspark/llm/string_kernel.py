@@ -45,7 +45,7 @@ DECAY = 0.5
 WINDOW = 16
 RISING = np.array([True, True, True, True, False, True, False])  # evidence that can only speak for toxic
 FLOOR = -0.5  # margins below this are no evidence
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 4 << 20
 LANDMARKS = 128  # of each class
 SENTENCE = 400  # characters at most; a longer one is cut
 # Signs written in place of a letter.
@@ -141,8 +141,8 @@ def kernel(strings: list[str], landmarks: list[str]) -> np.ndarray:
     np.add.at(marks, (back, r), v)
     marks = marks.astype(np.float32)
     out = np.zeros((len(strings), len(landmarks)), np.float32)
-    for at in range(0, len(strings), 1000):
-        r, c, v = features(strings[at : at + 1000])
+    for at in range(0, len(strings), 200):  # a few hundred floats for each feature of these
+        r, c, v = features(strings[at : at + 200])
         where = np.minimum(np.searchsorted(known, c), len(known) - 1)
         hit = np.flatnonzero(known[where] == c)
         hit = hit[np.argsort(r[hit], kind="stable")]
@@ -237,6 +237,14 @@ def constant(share: float) -> Machine:
     return Machine(np.zeros(CODES**3, np.float32), -1.0, np.zeros(6), np.zeros(6), float(np.log(max(share, 1e-9) / (2 - share))))
 
 
+def _nystrom(strings: list[str], marks: list[str], root: np.ndarray) -> np.ndarray:
+    """The strings' features over the landmarks, and a constant, filled in place."""
+    out = np.ones((len(strings), len(marks) + 1), np.float32)
+    for at in range(0, len(strings), 2000):
+        out[at : at + 2000, :-1] = kernel(strings[at : at + 2000], marks) @ root
+    return out
+
+
 def train(
     sentences: list[tuple[list[str], int]], toxic_words: list[str], hard=None, rounds: int = 3, ridge: float = 1e-4
 ) -> Machine:
@@ -264,14 +272,15 @@ def train(
     for turn in range(rounds):
         value, vector = np.linalg.eigh(kernel(marks, marks).astype(np.float64))
         root = (vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-6))) @ vector.T).astype(np.float32)
-        low = np.column_stack([kernel(negative, marks) @ root, np.ones(len(negative), np.float32)])
-        high = np.column_stack([kernel(names, marks) @ root, np.ones(len(names), np.float32)])
+        high = _nystrom(names, marks, root)
         chosen = [place[max(words, key=lambda w: score[place[w]])] for words in positive]
         at, count = np.unique(chosen, return_counts=True)
-        x = np.vstack([low, high[at]])
-        y = np.concatenate([-np.ones(len(low)), np.ones(len(at))])
-        share = np.concatenate([np.full(len(low), 1 / len(low)), count / count.sum()])
+        n = len(negative)
+        x = _nystrom([*negative, *(names[i] for i in at)], marks, root)
+        y = np.concatenate([-np.ones(n), np.ones(len(at))])
+        share = np.concatenate([np.full(n, 1 / max(n, 1)), count / count.sum()])
         weights = _squared_hinge(x, y, share, ridge)
+        del x
         score = high @ weights
         # Margins are linear in the kernel with the landmarks, so in its features.
         r, c, v = features(marks)
@@ -291,9 +300,15 @@ def _squared_hinge(x, y, share, ridge):
     penalty[-1, -1] = 1e-9
     weights = np.zeros(x.shape[1])
     for _ in range(30):
-        inside = y * (x @ weights) < 1
-        part = x[inside] * share[inside, None]
-        solved = np.linalg.solve(penalty + part.T @ x[inside], part.T @ y[inside])
+        inside = np.flatnonzero(y * (x @ weights.astype(x.dtype)) < 1)
+        left, right = penalty.copy(), np.zeros(x.shape[1])
+        for at in range(0, len(inside), 4096):
+            some = inside[at : at + 4096]
+            rows = x[some].astype(np.float64)
+            scaled = rows * share[some, None]
+            left += scaled.T @ rows
+            right += scaled.T @ y[some]
+        solved = np.linalg.solve(left, right)
         if np.allclose(solved, weights, atol=1e-7):
             break
         weights = weights + 0.7 * (solved - weights)
