@@ -14,7 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     and a link of a node with itself is ignored. Alternates the large-star and
     small-star steps, each a minimum per node (combined before the shuffle)
     joined back to the links, until every link is a star around its smallest node.
-    Each round is written, so a lost executor never repeats earlier rounds.
+    The minima are written before the join, so that both its sides are plain
+    shuffles, whose hot keys Spark can split. Each round is written, so a lost executor never repeats earlier rounds.
     """
     edges = cut(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
@@ -22,7 +23,7 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")), "links")
         large = (
             both.join(least, "u")
             .where("v > u")
@@ -30,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         large = cut(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")), "links")
         small = large.join(least, "u")
         edges = cut(
             small.where("v <> m")

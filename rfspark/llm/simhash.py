@@ -35,6 +35,7 @@ from rfspark.llm.common import cut
 from rfspark.llm.graph import components
 
 SEED = 42
+PROBE = 10.0  # what a probe costs, against a candidate
 SAMPLE = 20_000  # fingerprints at most, for grouping bits
 
 
@@ -62,21 +63,22 @@ def _set_name(hashes: np.ndarray) -> int:
 
 
 def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, as_sets: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", votes: int = 5, width: int | None = None
 ) -> DataFrame:
     """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long.
 
-    ``as_sets``: each shingle votes once however often it occurs, and ``node``
-    names the set of shingles; else ``node`` is the fingerprint.
+    Shingles of ``votes`` words vote. With ``width``, each votes once however
+    often it occurs, and ``node`` names the set of shingles of ``width`` words;
+    else ``node`` is the fingerprint.
     """
 
     def run(batches):
         for batch in batches:
             fps, nodes = [], []
             for text in batch.column(1).to_pylist():
-                hashes = shingle_hashes(text, width)
-                fps.append(fingerprint(np.unique(hashes) if as_sets else hashes))
-                nodes.append(_set_name(hashes) if as_sets else fps[-1])
+                hashes = shingle_hashes(text, votes)
+                fps.append(fingerprint(np.unique(hashes) if width else hashes))
+                nodes.append(_set_name(shingle_hashes(text, width)) if width else fps[-1])
             made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, nodes)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node"])
 
@@ -127,8 +129,8 @@ def allocated(own: np.ndarray, crowd: np.ndarray, widths: list[int], k: int) ->
     """Thresholds per query and partition, of least expected cost, that sum to k - m + 1.
 
     ``own``: rows with the query's own value, per query and partition. ``crowd``:
-    rows to be expected for another value, per partition. A probe counts one, and
-    so does a candidate. ``cost[q, s]`` is the least cost of the partitions so far
+    rows to be expected for another value, per partition. A candidate counts one,
+    a probe ``PROBE``. ``cost[q, s]`` is the least cost of the partitions so far
     when their thresholds, each counted from -1, sum to ``s``.
     """
     n, m = own.shape
@@ -140,7 +142,7 @@ def allocated(own: np.ndarray, crowd: np.ndarray, widths: list[int], k: int) ->
         size = [0] + [len(ball(widths[i], t)) for t in range(k + 1)]
         step = np.full((n, need + 1), np.inf)
         for up in range(min(need, k + 1) + 1):
-            price = np.zeros(n) if up == 0 else own[:, i] + size[up] + (size[up] - 1) * crowd[i]
+            price = np.zeros(n) if up == 0 else own[:, i] + size[up] * PROBE + (size[up] - 1) * crowd[i]
             for s in range(up, need + 1):
                 total = cost[:, s - up] + price
                 better = total < step[:, s]
@@ -169,10 +171,10 @@ def _partitions(sample: np.ndarray, n: int, k: int) -> list[list[int]]:
             _, back, count = np.unique(part_value(sample, g), return_inverse=True, return_counts=True)
             own[:, i] = 1 + (count[back] - 1) * (n / max(len(sample), 1)) + crowd[i]
         chosen = allocated(own, crowd, widths, k)
-        cost = 2.0 * m
+        cost = PROBE * m
         for i in range(m):
             size = np.array([0] + [len(ball(widths[i], t)) for t in range(k + 1)])[chosen[:, i] + 1]
-            cost += float(np.mean(size + np.maximum(size - 1, 0) * crowd[i] + (size > 0) * own[:, i])) if len(sample) else 0
+            cost += float(np.mean(size * PROBE + np.maximum(size - 1, 0) * crowd[i] + (size > 0) * own[:, i])) if len(sample) else 0
         if best is None or cost < best[0]:
             best = (cost, groups)
     return best[1]
@@ -331,23 +333,29 @@ def near_groups(
     width: int = 5,
     k: int = 8,
     similarity: float | None = 0.8,
+    votes: int = 2,
 ) -> DataFrame:
     """``id, fp, component`` for every row; ``component`` is the smallest id reachable by links.
 
-    With ``similarity``, texts link when their fingerprints differ in at most
-    ``k`` bits and their sets of shingles have at least that Jaccard similarity;
-    without it, when fingerprints differ in at most ``k`` bits.
+    With ``similarity``, texts link when fingerprints of their sets of shingles of
+    ``votes`` words differ in at most ``k`` bits and their sets of shingles of
+    ``width`` words have at least that Jaccard similarity. (Short shingles vote
+    because one changed word changes few of them: of texts at the limit of the
+    similarity most are found.) Without it, texts link when fingerprints of
+    shingles of ``width`` words, repeats included, differ in at most ``k`` bits.
     """
     as_sets = similarity is not None
-    rows = cut(fingerprints(docs, id_col, text_col, width, as_sets), "simhash")
+    rows = fingerprints(docs, id_col, text_col, votes if as_sets else width, width if as_sets else None)
+    rows = cut(rows, "simhash")
     nodes = cut(rows.groupBy("node", "fp").agg(F.min("id").alias("least")), "simhash")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     verify = _alike(texts, nodes, width, similarity) if as_sets else None
     joined = linked(nodes.select("node", "fp"), k, verify)
     named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
     named = cut(named.select("node", "root", "least"), "simhash")
-    smallest = named.groupBy("root").agg(F.min("least").alias("component"))
-    return rows.join(named.join(smallest, "root").select("node", "component"), "node").select("id", "fp", "component")
+    smallest = cut(named.groupBy("root").agg(F.min("least").alias("component")), "simhash")
+    named = cut(named.join(smallest, "root").select("node", "component"), "simhash")
+    return rows.join(named, "node").select("id", "fp", "component")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -355,6 +363,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
 
     Rows that repeat an id that stays, stay with it.
     """
-    dropped = near_groups(docs, id_col, text_col, **how).where("component is not null and id is distinct from component")
-    dropped = dropped.select(F.col("id").alias("__gone")).distinct()
+    stays = F.col("component").isNull() | F.col("id").eqNullSafe(F.col("component"))
+    dropped = near_groups(docs, id_col, text_col, **how).groupBy("id").agg(F.bool_or(stays).alias("stays"))
+    dropped = dropped.where("not stays").select(F.col("id").alias("__gone"))
     return docs.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
