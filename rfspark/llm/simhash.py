@@ -12,6 +12,14 @@ candidates to be expected, from exact counts of the fingerprint's own value and
 estimates for its neighbours. It then probes every value within t_i bits, and
 candidates are verified by their full distance inside the join.
 
+With a similarity asked for, fingerprints come first, as they join most near
+copies cheaply, but they decide nothing: a pair at the limit of the similarity
+often differs in more than ``k`` bits. What they leave apart is found by a prefix
+search, which is exact. Sets of shingles are put in one order, frequent shingles
+last; two sets at the similarity or above share a shingle among the first
+``size - ceil(similarity * size) + 1`` of both. Only how frequent shingles are is
+taken from a sample, and any order would find the same links.
+
 Equal fingerprints are one node, so copies never become pairs; a fingerprint has
 a bounded number of neighbours within ``k`` bits whatever the number of rows.
 
@@ -29,14 +37,15 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rfspark.llm.common import cut
 from rfspark.llm.graph import components
 
 SEED = 42
 PROBE = 10.0  # what a probe costs, against a candidate
-SAMPLE = 20_000  # fingerprints at most, for grouping bits
+SAMPLE = 20_000  # fingerprints at most, for grouping bits; texts about, for what is frequent
+FREQUENT = 500_000  # shingles at most that are put last
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -326,6 +335,95 @@ def _alike(docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
     return check
 
 
+def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several texts of a sample, in order of value, and how many texts have each."""
+    n = docs.count()
+    part = int(min(1.0, SAMPLE / max(n, 1)) * (1 << 30)) + 1
+    kept = F.pmod(F.xxhash64("id", F.xxhash64("text"), F.lit(9)), F.lit(1 << 30)) < part
+
+    def shingles(batches):
+        for batch in batches:
+            found = [np.unique(shingle_hashes(t, width)) for t in batch.column(0).to_pylist()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
+
+    counts = docs.where(kept).select("text").mapInArrow(shingles, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    most = counts.where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
+    keys, seen = np.asarray(most["key"]).astype(np.int64).view(np.uint64), np.asarray(most["n"]).astype(np.int64)
+    order = np.argsort(keys)
+    return keys[order], seen[order]
+
+
+def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first of some distinct shingles, rare ones first: as many as any similar set must share one of."""
+    keys, seen = frequent
+    n = np.zeros(len(shingles), np.int64)
+    if len(keys):
+        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        n = np.where(keys[at] == shingles, seen[at], 0)
+    size = len(shingles)
+    return shingles[np.lexsort((shingles, n))][: size - math.ceil(similarity * size - 1e-9) + 1]
+
+
+def _prefix_pairs(docs: DataFrame, joined: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``a, b, a_c, b_c``: pairs of nodes of different components, ``joined``, that can have the similarity."""
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                columns = [[], [], [], []]
+                for text in batch.column(0).slice(at, 256).to_pylist():
+                    shingles = np.unique(shingle_hashes(text, width))
+                    if not len(shingles):
+                        continue
+                    first = prefix(shingles, frequent.value, similarity)
+                    node = np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64)
+                    for column, x in zip(columns, (first.view(np.int64), np.full(len(first), node))):
+                        column.append(x)
+                    columns[2].append(np.full(len(first), len(shingles), np.int32))
+                    columns[3].append(np.arange(len(first), dtype=np.int32))
+                if columns[0]:
+                    made = [pa.array(np.concatenate(x)) for x in columns]
+                    yield pa.RecordBatch.from_arrays(made, ["key", "node", "size", "place"])
+
+    rows = docs.select("text").mapInArrow(run, "key long, node long, size int, place int")
+    # Nearly all shingles are of one node only; one exchange drops them.
+    whole = Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))
+    rows = cut(rows.where("lo <> hi").drop("lo", "hi").distinct(), "simhash")
+    known = joined.select("node", F.col("component").alias("c"))
+    rows = cut(rows.join(known, "node", "left").withColumn("c", F.coalesce("c", "node")), "simhash")
+    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    rows = cut(rows.join(cut(mixed.select("key"), "simhash"), "key", "left_semi"), "simhash")
+    x, y = (rows.select("key", *[F.col(n).alias(f"{side}_{n}") for n in ("node", "size", "place", "c")]) for side in "ab")
+    # Of the pair's common shingles the first has all others behind it in both sets.
+    most = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
+    enough = most * (1 + similarity) >= (F.col("a_size") + F.col("b_size")) * similarity - 1e-6
+    met = x.join(y, "key").where((F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c")) & enough)
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_c", "b_c").distinct()
+
+
+def _completed(docs: DataFrame, joined: DataFrame, verify, width: int, similarity: float) -> DataFrame:
+    """The components of ``joined`` with all links of the similarity that are between them."""
+    pairs = cut(_prefix_pairs(docs, joined, width, similarity), "simhash")
+    if pairs.isEmpty():
+        return joined
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    # First a node meets one node of each other component, so that a crowd is not paired out.
+    ends = pairs.select("a", "b_c", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a_c").alias("b_c"), F.col("a").alias("b")))
+    tried = cut(_pairs(ends.groupBy("a", "b_c").agg(F.min("b").alias("b")).select("a", "b")), "simhash")
+    joined = cut(components(stars.unionByName(verify(tried))), "simhash")
+    rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
+    for end in "ab":
+        known = joined.select(F.col("node").alias(end), F.col("component").alias(f"{end}_c"))
+        rest = rest.join(known, end, "left").withColumn(f"{end}_c", F.coalesce(f"{end}_c", end))
+    rest = cut(rest.where("a_c <> b_c").select("a", "b"), "simhash")
+    if rest.isEmpty():
+        return joined
+    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(rest)))
+
+
 def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -337,12 +435,12 @@ def near_groups(
 ) -> DataFrame:
     """``id, fp, component`` for every row; ``component`` is the smallest id reachable by links.
 
-    With ``similarity``, texts link when fingerprints of their sets of shingles of
-    ``votes`` words differ in at most ``k`` bits and their sets of shingles of
-    ``width`` words have at least that Jaccard similarity. (Short shingles vote
-    because one changed word changes few of them: of texts at the limit of the
-    similarity most are found.) Without it, texts link when fingerprints of
-    shingles of ``width`` words, repeats included, differ in at most ``k`` bits.
+    With ``similarity``, texts link when their sets of shingles of ``width`` words
+    have at least that Jaccard similarity. Pairs whose fingerprints, of sets of
+    shingles of ``votes`` words, differ in at most ``k`` bits are tried first; the
+    result does not depend on ``votes`` and ``k``. Without it, texts link when
+    fingerprints of shingles of ``width`` words, repeats included, differ in at
+    most ``k`` bits.
     """
     as_sets = similarity is not None
     rows = fingerprints(docs, id_col, text_col, votes if as_sets else width, width if as_sets else None)
@@ -351,6 +449,8 @@ def near_groups(
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     verify = _alike(texts, nodes, width, similarity) if as_sets else None
     joined = linked(nodes.select("node", "fp"), k, verify)
+    if as_sets:
+        joined = _completed(texts, cut(joined, "simhash"), verify, width, similarity)
     named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
     named = cut(named.select("node", "root", "least"), "simhash")
     smallest = cut(named.groupBy("root").agg(F.min("least").alias("component")), "simhash")

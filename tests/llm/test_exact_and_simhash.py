@@ -171,3 +171,35 @@ def test_an_id_with_two_texts_is_not_lost_with_one_of_them(spark):
     first, other = " ".join(words(rng, 60)), " ".join(words(rng, 60))
     docs = spark.createDataFrame([(1, first), (2, first), (2, other)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.dedup(docs).collect()) == [1, 2, 2]
+
+
+def test_near_copies_with_added_and_removed_passages_are_all_found(spark):
+    rng = random.Random(8)
+    common, texts = words(rng, 40), []
+    for similarity in (0.78, 0.801, 0.85, 0.9, 0.95):
+        for i in range(40):
+            base = common + words(rng, 260)
+            more = int(296 * (1 / similarity - 1))
+            if i % 2:
+                other = base + words(rng, more)
+            else:
+                base, other = base + words(rng, more), base
+            texts += [" ".join(base), " ".join(other)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in simhash.near_groups(docs).collect()}
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    pairs = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(pairs) >= 160 and got == roots(pairs, range(len(texts)))
+
+
+def test_any_order_of_shingles_leaves_a_common_one_in_both_prefixes():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 60))
+        both = rng.integers(0, 2**63, n, dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([both, rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 2)), dtype=np.uint64)])) for _ in "ab")
+        seen = np.unique(np.concatenate([both[::2], a[::3]]))
+        frequent = (seen, rng.integers(3, 9, len(seen)))
+        if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
+            firsts = (simhash.prefix(x, frequent, 0.8) for x in (a, b))
+            assert len(np.intersect1d(*firsts))
