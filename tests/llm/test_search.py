@@ -162,3 +162,20 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, small):
 def test_no_embeddings(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert product_quantisation.near_groups(df).count() == 0
+
+
+def test_pairs_across_lists_are_found_when_the_sample_holds_none(spark, monkeypatch):
+    monkeypatch.setattr(product_quantisation, "SAMPLE", 200)
+    monkeypatch.setattr(product_quantisation, "PER_LIST", 60)
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    away = rng.normal(size=x.shape)
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away *= np.sqrt(1 / 0.935**2 - 1) / np.linalg.norm(away, axis=1, keepdims=True)
+    both = np.concatenate([x, x + away])
+    unit = both / np.linalg.norm(both, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(both.tolist())], "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: r["n_links"] for r in product_quantisation.near_groups(df).collect()}
+    assert got == dict(enumerate((near.sum(axis=1) - 1).tolist()))
