@@ -1,4 +1,7 @@
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -32,3 +35,15 @@ def test_query_equals_its_sql(spark, name):
     order = sorted(range(len(names)), key=lambda k: names[k])
     want = sorted((tuple(norm(r[k]) for k in order) for r in cur.fetchall()), key=repr)
     assert sorted(names) == columns and got == want
+
+
+def test_entry_point_without_the_training_data_operators(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(os.path.join(root, "rfspark"), tmp_path / "rfspark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", "corpus_pipeline.py"):
+        if os.path.exists(os.path.join(root, name)):
+            shutil.copy(os.path.join(root, name), tmp_path / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), sorted(e.queries()) == sorted(e.oracle_sql()))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-B", "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, check=True)
+    assert said.stdout.split() == [str(len(registry.queries())), "True"]
