@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rfspark.llm import exact_dedup, merge_dropout, packing, pii, pitman_yor, product_quantisation, sharding, simhash, string_kernel, warc
+from rfspark.llm import (
+    exact_dedup,
+    merge_dropout,
+    packing,
+    pii,
+    pitman_yor,
+    product_quantisation,
+    ranked_search,
+    sharding,
+    simhash,
+    string_kernel,
+    warc,
+)
 from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
 
@@ -99,6 +111,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+    return rows.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_histogram_sort": op2_histogram_sort,
@@ -110,8 +127,11 @@ QUERIES = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_block_max_search": op12_block_max_search,
 }
 
+TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
 ORACLE = {
     "op1_warc_capture_index": """
         with p as (select page_id, coalesce(html, '') as x from pages),
@@ -132,4 +152,32 @@ ORACLE = {
                sha256(x) as text_sha256
         from t
     """,
+    "op12_block_max_search": f"""
+        with d as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), {TERMS}) as words
+            from documents
+        ),
+        size as (select count(*) filter (len(words) > 0) as n_docs, sum(len(words))::bigint as n_terms from d),
+        flat as (select doc_id, len(words) as n, unnest(words) as term from d),
+        posting as (select doc_id, n, term, count(*) as tf from flat group by all),
+        asked as (
+            select distinct item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), {TERMS})) as term
+            from benchmark
+        ),
+        weighed as (
+            select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from posting, size group by term
+        ),
+        scored as (
+            select item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::bigint as score
+            from asked join weighed using (term) join posting using (term), size
+            group by item_id, doc_id
+        ),
+        ranked as (
+            select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+            from scored where score > 0
+        )
+        select * from ranked where rank <= 50
+    """,
 }
