@@ -16,6 +16,7 @@ from rfspark.llm import (
     simhash,
     string_kernel,
     warc,
+    whitening,
 )
 from rfspark.llm.common import LOWER, UPPER, crc_bucket, table
 
@@ -111,6 +112,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_block_matrix_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32).withColumnRenamed("id", "vec_id")
+
+
 def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
     return rows.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
@@ -127,6 +132,7 @@ QUERIES = {
     "op8_merge_dropout": op8_merge_dropout,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_block_matrix_whitening": op11_block_matrix_whitening,
     "op12_block_max_search": op12_block_max_search,
 }
 
