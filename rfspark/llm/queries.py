@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rfspark.llm import (
+    bwt_dedup,
     exact_dedup,
     merge_dropout,
     packing,
@@ -121,6 +122,11 @@ def op12_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("query").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
 
 
+def op13_bwt_merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bwt_dedup.remove(table(spark, sf_dir, "documents"), length=400, keep_text=False)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_warc_capture_index": op1_warc_capture_index,
     "op2_histogram_sort": op2_histogram_sort,
@@ -134,6 +140,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_block_matrix_whitening": op11_block_matrix_whitening,
     "op12_block_max_search": op12_block_max_search,
+    "op13_bwt_merge_dedup": op13_bwt_merge_dedup,
 }
 
 TERMS = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
