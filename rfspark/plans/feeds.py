@@ -8,7 +8,7 @@ from rfspark.operators import decode, headers as hd
 from rfspark.operators.health import losing_nothing
 from rfspark.plans.continuity import ADAPT
 from rfspark.plans.headers import PAIRS, _pairs, _wire
-from rfspark.plans.views import HEALTH, IQ, PKT, health, packets, table
+from rfspark.plans.views import BAND, HEALTH, IQ, PKT, bands, health, packets, table
 from rfspark.session import shared_folder
 from rfspark.sources import dumps, feed
 from rfspark.streaming import continuity as live, stats
@@ -30,6 +30,11 @@ def query(name, sql):
 
 def run(df, spark, purpose, rocks=False):
     """Drive a stream over everything that has landed and read its output back."""
+    return spark.read.schema(df.schema).parquet(driven(df, spark, purpose, rocks))
+
+
+def driven(df, spark, purpose, rocks=False):
+    """Drive a stream over everything that has landed; the folder of its output."""
     folder = shared_folder(spark, purpose)
     wanted = {}
     if rocks:
@@ -42,36 +47,53 @@ def run(df, spark, purpose, rocks=False):
     for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
-        feed.start_stream(df, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+        feed.drain(df, f"{folder}/out", f"{folder}/checkpoint")
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+    return f"{folder}/out"
 
 
-def landed(spark, sf, name, make, slices):
-    """A landing folder filled one file after another, in packet order."""
+def landed(spark, sf, name, slices):
+    """A landing folder filled slice after slice, each of several files in packet order; its schema and rows.
+
+    ``slices`` gives the rows of each slice.
+    """
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _landed:
         folder = shared_folder(spark, f"landing-{name}")
-        df = make(spark, sf)
-        bounds = table(spark, sf, "events").agg(F.max("event_id")).first()[0] + 1
-        for k in range(slices):
-            part = df.filter((F.col("seq") >= bounds * k // slices) & (F.col("seq") < bounds * (k + 1) // slices))
-            part.coalesce(1).write.mode("append").parquet(folder)
-        _landed[key] = (folder, df.schema)
+        for part in slices(spark, sf):
+            spread = part.repartition("stream_id").sortWithinPartitions("stream_id", "seq")
+            spread.write.mode("append").parquet(folder)
+        rows = spark.read.parquet(folder).count()
+        _landed[key] = (folder, part.schema, rows)
     return _landed[key]
 
 
+def received(spark, sf, name, slices, triggers=3):
+    """The landing folder as a stream of about so many bounded micro-batches."""
+    folder, schema, rows = landed(spark, sf, name, slices)
+    return feed.read_packet_stream(spark, folder, schema, rows_per_trigger=rows // triggers + 1)
+
+
+def thirds(df, order="seq"):
+    """Three slices of a table by its order."""
+    top = df.agg(F.max(order)).first()[0] + 1
+    return [df.filter((F.col(order) >= top * k // 3) & (F.col(order) < top * (k + 1) // 3)) for k in range(3)]
+
+
+def timed(packets):
+    return packets.withColumns({"ts": F.timestamp_micros("start_time"), "bytes": F.col("samples") * 4})
+
+
+def packet_slices(spark, sf):
+    """Three slices of the packets, and at last the marker of each stream."""
+    p = timed(packets(spark, sf))
+    return [*thirds(p), feed.closing(p)]
+
+
 def live_packets(spark, sf):
-    folder, schema = landed(
-        spark,
-        sf,
-        "packets",
-        lambda s, d: packets(s, d).withColumns({"ts": F.timestamp_micros("start_time"), "bytes": F.col("samples") * 4}),
-        3,
-    )
-    return feed.read_packet_stream(spark, folder, schema, files_per_trigger=1)
+    return received(spark, sf, "packets", packet_slices)
 
 
 # The number of an event in hex, four digits to a pair, is the payload.
@@ -107,7 +129,8 @@ def stream_dumps(spark, sf):
 
 @query("s12_live_feed", f"WITH {PKT} SELECT stream_id, seq, payload, samples, center_hz FROM pkt")
 def live_feed(spark, sf):
-    return run(live_packets(spark, sf).select("stream_id", "seq", "payload", "samples", "center_hz"), spark, "feed")
+    rows = live_packets(spark, sf).filter("payload <> 'closed'")
+    return run(rows.select("stream_id", "seq", "payload", "samples", "center_hz"), spark, "feed")
 
 
 @query(
@@ -136,32 +159,27 @@ UNION ALL SELECT stream_id, at_sample, 1, change, center_hz::DOUBLE, rate_hz::DO
 )
 def continuity_stream(spark, sf):
     b = run(live.continuity_stream(live_packets(spark, sf), cap_s=None, ticks=1e6, stall_s=None), spark, "breaks", rocks=True)
+    b = b.filter("kind <> 'closed'").drop("at", "tuned_hz")
     return b.withColumns({c: F.coalesce(c, F.lit(-1.0)) for c in ("center_hz", "rate_hz")})
 
 
-# What the watermark has let go by the end of the feed.
-PASSED = "(SELECT max(start_time) // 1000 * 1000 - 3600000000 FROM pkt)"
-
-
 @query(
     "t2_live_stats",
     f"""WITH {PKT} SELECT stream_id, start_time - start_time % {DAY} AS window_start, count(*) AS packets, CAST(sum(samples) AS BIGINT) AS samples FROM pkt
-GROUP BY 1, 2 HAVING start_time - start_time % {DAY} + {DAY} <= {PASSED}""".replace(
-        "HAVING start_time - start_time %", "HAVING min(start_time) - min(start_time) %"
-    ),
+GROUP BY 1, 2""",
 )
 def live_stats(spark, sf):
-    w = run(stats.live_stats(live_packets(spark, sf), "1 hour", "1 day"), spark, "stats")
+    w = run(stats.closed_stats(live_packets(spark, sf), "1 hour", "1 day"), spark, "stats", rocks=True)
     return w.select("stream_id", F.unix_micros("window_start").alias("window_start"), "packets", "samples")
 
 
 @query(
     "t2_live_sliding_stats",
     f"""WITH {PKT}, w AS (SELECT *, start_time - start_time % {DAY // 2} - d * {DAY // 2} AS window_start FROM pkt, (SELECT unnest([0, 1]) AS d))
-SELECT stream_id, window_start, count(*) AS packets FROM w WHERE window_start + {DAY} <= {PASSED} GROUP BY 1, 2""",
+SELECT stream_id, window_start, count(*) AS packets FROM w WHERE start_time < window_start + {DAY} GROUP BY 1, 2""",
 )
 def live_sliding(spark, sf):
-    w = run(stats.live_stats(live_packets(spark, sf), "1 hour", "1 day", "12 hours"), spark, "sliding")
+    w = run(stats.closed_stats(live_packets(spark, sf), "1 hour", "1 day", "12 hours"), spark, "sliding", rocks=True)
     return w.select("stream_id", F.unix_micros("window_start").alias("window_start"), "packets")
 
 
@@ -169,11 +187,10 @@ def live_sliding(spark, sf):
     "t3_connection_sessions",
     f"""WITH {PKT}, g AS (SELECT *, coalesce(start_time - lag(start_time) OVER w >= 1800000000, true) AS fresh FROM pkt WINDOW w AS (PARTITION BY stream_id ORDER BY start_time, seq)),
 n AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY stream_id ORDER BY start_time, seq) AS sid FROM g)
-SELECT stream_id, min(start_time) AS opened, max(start_time) + 1800000000 AS closed, count(*) AS packets FROM n GROUP BY stream_id, sid
-HAVING max(start_time) + 1800000000 <= {PASSED}""",
+SELECT stream_id, min(start_time) AS opened, max(start_time) + 1800000000 AS closed, count(*) AS packets FROM n GROUP BY stream_id, sid""",
 )
 def sessions(spark, sf):
-    s = run(stats.connection_sessions(live_packets(spark, sf), "1 hour", "30 minutes"), spark, "sessions")
+    s = run(stats.closed_sessions(live_packets(spark, sf), "1 hour", "30 minutes"), spark, "sessions", rocks=True)
     return s.select("stream_id", F.unix_micros("opened").alias("opened"), F.unix_micros("closed").alias("closed"), "packets")
 
 
@@ -185,14 +202,10 @@ SELECT s.stream_id, count(*) AS late FROM s JOIN top USING (stream_id) WHERE hel
 )
 def late(spark, sf):
     """Every fifth packet lands a file later than the rest."""
-    key = (spark.sparkContext.applicationId, sf, "late")
-    if key not in _landed:
-        folder, p = shared_folder(spark, "landing-late"), packets(spark, sf)
-        p.filter("seq % 5 <> 0").coalesce(1).write.parquet(folder)
-        p.filter("seq % 5 = 0").coalesce(1).write.mode("append").parquet(folder)
-        _landed[key] = (folder, p.schema)
-    folder, schema = _landed[key]
-    source = feed.read_packet_stream(spark, folder, schema, files_per_trigger=1)
+    slices = lambda s, d: [packets(s, d).filter(f"seq % 5 {x} 0") for x in ("<>", "=")]
+    folder, schema, _ = landed(spark, sf, "late", slices)
+    first = slices(spark, sf)[0].count()
+    source = feed.read_packet_stream(spark, folder, schema, rows_per_trigger=first)
     b = run(live.continuity_stream(source, cap_s=None, ticks=1e6, stall_s=None), spark, "late", rocks=True)
     return b.filter("kind = 'late'").groupBy("stream_id").agg(F.count("*").alias("late"))
 
@@ -204,14 +217,54 @@ SELECT p.stream_id AS device_id, p.seq, CASE WHEN v.ok IS NULL OR p.start_time >
 FROM pkt p ASOF LEFT JOIN v ON v.device_id = p.stream_id AND p.start_time >= v.t""",
 )
 def enriched(spark, sf):
-    marks = live_packets(spark, sf).select(F.col("stream_id").alias("device_id"), F.col("start_time").alias("at"), "seq")
+    marks = live_packets(spark, sf).filter("payload <> 'closed'").select(F.col("stream_id").alias("device_id"), F.col("start_time").alias("at"), "seq")
     h = health(spark, sf).withColumn("losing_nothing", losing_nothing())
     spans = stats.health_intervals(h, 6 * 3600 * 1000000, DAY, 5 * DAY)
     return run(stats.enrich_stream(marks, spans, DAY), spark, "enriched").select("device_id", "seq", "blame")
 
 
+def health_slices(spark, sf):
+    """Health readings as they land, and each device's marker; a device without readings has one too."""
+    h = health(spark, sf).withColumn("losing_nothing", losing_nothing()).withColumn("ts", F.timestamp_micros("at"))
+    h = h.select(F.col("device_id").alias("stream_id"), "seq", "ts", F.lit("health").alias("payload"), "losing_nothing")
+    ends = feed.closing(timed(packets(spark, sf)).withColumn("losing_nothing", F.lit(None).cast("boolean")).select(h.columns))
+    return [*thirds(h), ends]
+
+
+@query(
+    "t5_enriched_breaks",
+    f"""WITH RECURSIVE {ADAPT}, {HEALTH}, {BAND}, tuned AS (
+  SELECT *, gap_class IN ('drop', 'backward') OR after_loss AS is_gap, CASE WHEN lag(rate_hz) OVER w IS NULL THEN 'initial'
+    WHEN abs(lag(center_hz) OVER w - center_hz) > 1 OR abs(rate_hz - lag(rate_hz) OVER w) / lag(rate_hz) OVER w > 0.1 THEN 'retune' END AS change,
+    CAST(coalesce(sum(samples) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at_sample
+  FROM adapted WINDOW w AS (PARTITION BY stream_id ORDER BY seq)),
+b AS (SELECT stream_id, at_sample, 'gap' AS kind, center_hz, seq, start_time FROM tuned WHERE is_gap AND at_sample > 0
+  UNION ALL SELECT stream_id, at_sample, change, center_hz, seq, start_time FROM tuned WHERE change IS NOT NULL),
+v AS (SELECT device_id, t, arg_min(ok, seq) AS ok FROM (SELECT device_id, "at" AS t, seq, errors_per_second < 0.5 AND coalesce(usb_overflows_per_second < 0.5, true) AS ok FROM health) GROUP BY 1, 2),
+e AS (SELECT b.*, CASE WHEN v.ok IS NULL OR b.start_time >= v.t + 21600000000 THEN 'unknown' WHEN v.ok THEN 'downstream' ELSE 'device' END AS blame
+  FROM b ASOF LEFT JOIN v ON v.device_id = b.stream_id AND b.start_time >= v.t)
+SELECT stream_id AS device_id, at_sample, kind, seq, blame, coalesce(band, 'none') AS band FROM e LEFT JOIN band ON e.center_hz BETWEEN band_start AND band_end""",
+)
+def enriched_breaks(spark, sf):
+    """Breaks found in the packet feed are a feed themselves; the health feed runs beside it."""
+    source = live.continuity_stream(live_packets(spark, sf), cap_s=None, ticks=1e6, stall_s=None)
+    folder = driven(source, spark, "breaks", rocks=True)
+    # The marker of a stream carries no start; its feed ends with its last break.
+    found = feed.read_packet_stream(spark, folder, source.schema, rows_per_trigger=spark.read.parquet(folder).count() // 2 + 1)
+    at = F.when(F.col("kind") == "closed", F.lit(None)).otherwise(F.col("at").cast("long"))
+    breaks = found.select(
+        F.col("stream_id").alias("device_id"), "seq", F.timestamp_micros(at).alias("ts"), "at_sample", "kind",
+        F.col("tuned_hz").alias("center_hz"), (F.col("kind") == "closed").alias("closed"),
+    )
+    readings = received(spark, sf, "health", health_slices).select(
+        F.col("stream_id").alias("device_id"), "seq", "ts", "losing_nothing", (F.col("payload") == "closed").alias("closed")
+    )
+    rows = stats.enrich_live(breaks, readings, bands(spark, sf), "1 hour", 6 * 3600 * 1000000, 4e6)
+    out = run(rows.select("device_id", "at_sample", "kind", "seq", "blame", "band"), spark, "enriched-breaks", rocks=True)
+    return out.withColumn("band", F.coalesce("band", F.lit("none")))
+
+
 @query("t6_decode_stream", f"WITH {IQ} " + PAIRS.format(i="CAST(i AS DOUBLE)", q="CAST(q AS DOUBLE)"))
 def decode_stream(spark, sf):
-    folder, schema = landed(spark, sf, "wire", lambda s, d: _wire(s, d, "float32"), 2)
-    source = feed.read_packet_stream(spark, folder, schema, files_per_trigger=1)
+    source = received(spark, sf, "wire", lambda s, d: thirds(_wire(s, d, "float32")))
     return _pairs(run(stats.decode_stream(source), spark, "decoded"))

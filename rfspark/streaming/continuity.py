@@ -16,7 +16,7 @@ STATE = (
     "center_hz double, rate_hz double, produced bigint, gap boolean, initial boolean, new_center double, new_rate double, "
     "drops bigint, backward_steps bigint"
 )
-OUTPUT = "stream_id bigint, at_sample bigint, place int, kind string, center_hz double, rate_hz double, seq bigint"
+OUTPUT = "stream_id bigint, at_sample bigint, place int, kind string, center_hz double, rate_hz double, seq bigint, at double, tuned_hz double"
 START = (-1, None, False, False, None, None, 0.0, None, None, 0, False, False, None, None, 0, 0)
 NAMES = [c.split()[0] for c in STATE.split(", ")]
 DAY_MS = 86_400_000
@@ -45,9 +45,12 @@ class Timeline:
         s = self.s
         if seq <= s["seq"]:
             # Arrived after its successors: reported, never sorted back in.
-            self.out.append((s["produced"], 2, "late", None, None, seq))
+            self.say(2, "late", None, None, seq, start)
             return
         s["seq"] = seq
+        if payload == "closed":
+            self.say(4, "closed", None, None, seq, start)
+            return
         if payload not in ("iq", "lost"):
             return
         if s["connection_id"] is not None and connection != s["connection_id"]:
@@ -68,7 +71,7 @@ class Timeline:
         if rate is not None and rate > 0:
             self.geometry(center, rate)
         if samples > 0:
-            self.publish(seq)
+            self.publish(seq, start)
             s["produced"] += samples
 
     def geometry(self, center, rate):
@@ -79,14 +82,17 @@ class Timeline:
             s["new_center"], s["new_rate"] = center, rate
             s["center_hz"], s["rate_hz"] = center, rate
 
-    def publish(self, seq):
+    def say(self, place, kind, center, rate, seq, at):
+        self.out.append((self.s["produced"], place, kind, center, rate, seq, at, self.s["center_hz"]))
+
+    def publish(self, seq, at):
         """Breaks go out ahead of the samples they precede: a gap, then a geometry."""
         s = self.s
         if s["gap"] and s["produced"] > 0:
-            self.out.append((s["produced"], 0, "gap", None, None, seq))
+            self.say(0, "gap", None, None, seq, at)
         if s["new_rate"] is not None:
             kind = "initial" if s["initial"] else "retune"
-            self.out.append((s["produced"], 1, kind, s["new_center"], s["new_rate"], seq))
+            self.say(1, kind, s["new_center"], s["new_rate"], seq, at)
         s["gap"], s["initial"], s["new_center"], s["new_rate"] = False, False, None, None
 
 
@@ -106,6 +112,8 @@ class ContinuityProcessor(StatefulProcessor):
         columns = ["seq", "connection_id", "payload", "start_time", "end_time", "samples", "center_hz", "rate_hz"]
         for row in zip(*(batch[c].tolist() for c in columns)):
             seq, conn, payload, start, end, samples, center, rate = row
+            if payload == "closed":
+                start, end, conn, samples, center, rate = (0 if pd.isna(x) else x for x in (start, end, conn, samples, center, rate))
             line.take(int(seq), int(conn), payload, float(start), float(end), int(samples), float(center), float(rate))
         self.state.update(line.values())
         if self.stall_ms:
@@ -119,7 +127,8 @@ class ContinuityProcessor(StatefulProcessor):
         line = Timeline(self.state.get(), self.cap, self.floor)
         line.s["gap"], line.s["linked"] = True, False
         self.state.update(line.values())
-        yield _frame(key[0], [(line.s["produced"], 3, "stall", None, None, line.s["seq"])])
+        line.say(3, "stall", None, None, line.s["seq"], line.s["end_time"])
+        yield _frame(key[0], line.out)
 
     def close(self) -> None:
         pass
@@ -128,7 +137,7 @@ class ContinuityProcessor(StatefulProcessor):
 def _frame(stream, out) -> pd.DataFrame:
     names = [c.split()[0] for c in OUTPUT.split(", ")]
     df = pd.DataFrame([(stream, *row) for row in out], columns=names)
-    return df.astype({"stream_id": "int64", "at_sample": "int64", "place": "int32", "seq": "int64", "center_hz": "float64", "rate_hz": "float64", "kind": "object"})
+    return df.astype({"stream_id": "int64", "at_sample": "int64", "place": "int32", "seq": "int64", "center_hz": "float64", "rate_hz": "float64", "kind": "object", "at": "float64", "tuned_hz": "float64"})
 
 
 def continuity_stream(
@@ -139,7 +148,8 @@ def continuity_stream(
     State is one short row per stream. Packets are ordered inside a micro-batch;
     one that comes after its successors is a ``late`` row. With ``stall_s``, a
     stream that goes quiet gives a ``stall`` row and its next packet is a new
-    start. Needs the RocksDB state store. ``ttl_ms`` forgets silent streams.
+    start. A ``closed`` marker is passed on as a ``closed`` row. ``at`` is the start of
+    the packet that a row speaks of, ``tuned_hz`` the centre last announced. Needs the RocksDB state store. ``ttl_ms`` forgets silent streams.
     """
     cap = float("inf") if cap_s is None else cap_s * ticks
     processor = ContinuityProcessor(
