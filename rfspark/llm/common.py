@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 
 import numpy as np
@@ -77,6 +79,39 @@ def stretches(batch: pa.RecordBatch, column: int, size: int):
         yield batch.take(pa.array(np.arange(lo, hi)))
 
 
+remembered: dict[str, dict] = {}
+
+
+def tidied(run, keep: str | None = None):
+    """A map over batches that leaves little in the worker it ran in.
+
+    Spark uses a worker for the next task again, of whatever stage. What other
+    operators remember there (``remembered``, by operator) is dropped first, and what Arrow
+    and the allocator hold of freed memory goes back to the system at the end.
+    """
+
+    def whole(batches):
+        for name, values in remembered.items():
+            if name != keep:
+                values.clear()
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return whole
+
+
+def _give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A fixed scrambling of unsigned 64-bit values (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)

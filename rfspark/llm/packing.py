@@ -30,7 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from rfspark.llm.common import stretches, words_of
+from rfspark.llm.common import remembered, stretches, tidied, words_of
 
 END_ID = 1
 BLOCK = 4096  # documents in a block, about
@@ -121,11 +121,11 @@ class WordIds:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[starts]
 
 
-_coders: dict[str, WordIds] = {}
+_coders: dict[str, WordIds] = remembered.setdefault("packing", {})
 
 
 def coder_of(path: str) -> WordIds:
-    """The worker's own encoder, which later tasks use again with the words it knows."""
+    """The worker's own encoder, which later tasks of this operator use again with the words it knows."""
     if path not in _coders:
         _coders[path] = WordIds(path)
     return _coders[path]
@@ -185,7 +185,7 @@ def pieces(
         F.col(f"`{text_col}`").alias("text"),
         F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).alias("block"),
     )
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run, keep="packing"), schema)
 
 
 def fill(demand: np.ndarray, limit: np.ndarray) -> np.ndarray:

@@ -28,7 +28,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from rfspark.llm.common import stretches
+from rfspark.llm.common import stretches, tidied
 
 KINDS = ("email", "ip", "card", "phone")
 TEXTS = 50_000  # texts looked through for the sample, about
@@ -276,7 +276,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Trees | None:
             columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.bool_(), pa.list_(pa.float64())))]
             yield pa.RecordBatch.from_arrays(columns, ["o", "y", "x"])
 
-    found = some.mapInArrow(run, "o long, y boolean, x array<double>").distinct()
+    found = some.mapInArrow(tidied(run), "o long, y boolean, x array<double>").distinct()
     found = found.orderBy("o", "y", "x").limit(CANDIDATES).collect()
     y = np.array([r["y"] for r in found], float)
     if not len(y) or y.min() == y.max():
@@ -362,7 +362,7 @@ def find(docs: DataFrame, model: Trees | None, id_col: str = "doc_id", text_col:
     names = ["id", *(f"n_{k}" for k in KINDS), "base", "spans"]
     schema = "id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base string, spans string"
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def redacted(text: str, spans) -> str:
@@ -388,4 +388,4 @@ def redact(docs: DataFrame, model: Trees | None, text_col: str = "text") -> Data
                 columns = [pa.array(made, part.schema.field(at).type) if i == at else c for i, c in enumerate(part.columns)]
                 yield pa.RecordBatch.from_arrays(columns, part.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -39,7 +39,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rfspark.llm.common import cut
+from rfspark.llm.common import cut, stretches, tidied
 from rfspark.llm.graph import components
 
 SEED = 42
@@ -82,7 +82,7 @@ def fingerprints(
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in stretches(b, 1, TEXT_BYTES)):
             fps, nodes = [], []
             for text in batch.column(1).to_pylist():
                 hashes = shingle_hashes(text, votes)
@@ -92,7 +92,7 @@ def fingerprints(
             yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long, node long")
+    return rows.mapInArrow(tidied(run), "id long, fp long, node long")
 
 
 def grouped_bits(sample: np.ndarray, m: int) -> list[list[int]]:
@@ -206,7 +206,7 @@ def _index(nodes: DataFrame, groups) -> DataFrame:
                 ["part", "value", "node", "fp"],
             )
 
-    return nodes.select("node", "fp").mapInArrow(indexed, "part int, value long, node long, fp long")
+    return nodes.select("node", "fp").mapInArrow(tidied(indexed), "part int, value long, node long, fp long")
 
 
 def _probes(counts: DataFrame, groups, n: int, k: int) -> DataFrame:
@@ -239,7 +239,7 @@ def _probes(counts: DataFrame, groups, n: int, k: int) -> DataFrame:
                             ["part", "value", "q", "q_fp"],
                         )
 
-    return counts.mapInArrow(probed, "part int, value long, q long, q_fp long")
+    return counts.mapInArrow(tidied(probed), "part int, value long, q long, q_fp long")
 
 
 def linked(nodes: DataFrame, k: int, verify=None) -> DataFrame:
@@ -300,6 +300,9 @@ def _pairs(df: DataFrame) -> DataFrame:
     return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+TEXT_BYTES = 4 << 20  # bytes of text taken out of a batch at a time
+
+
 def _alike(docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
     """Narrows pairs of nodes to those whose shingle sets have at least this Jaccard similarity."""
 
@@ -315,22 +318,22 @@ def _alike(docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
                 yield batch.filter(pa.array(held, pa.bool_()))
 
         texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["want"])).select(F.col("want_node").alias("node"), "text")
-        texts = cut(texts.mapInArrow(own, "node long, text string").dropDuplicates(["node"]), "simhash")
+        texts = cut(texts.mapInArrow(tidied(own), "node long, text string").dropDuplicates(["node"]), "simhash")
         both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
         def alike(batches):
-            for batch in batches:
+            for part in (p for batch in batches for p in stretches(batch, 2, TEXT_BYTES)):
                 held, last = [], (None, None)
-                for x, y, hub in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(1).to_pylist()):
+                for x, y, hub in zip(part.column(2), part.column(3), part.column(1).to_pylist()):
                     if last[0] != hub:
-                        last = (hub, np.unique(shingle_hashes(y, width)))
-                    a, b = np.unique(shingle_hashes(x, width)), last[1]
+                        last = (hub, np.unique(shingle_hashes(y.as_py(), width)))
+                    a, b = np.unique(shingle_hashes(x.as_py(), width)), last[1]
                     shared = len(np.intersect1d(a, b, assume_unique=True))
                     held.append(shared >= similarity * (len(a) + len(b) - shared))
-                yield batch.select([0, 1]).filter(pa.array(held, pa.bool_()))
+                yield part.select([0, 1]).filter(pa.array(held, pa.bool_()))
 
-        return both.select("a", "b", "text_a", "text_b").mapInArrow(alike, "a long, b long")
+        return both.select("a", "b", "text_a", "text_b").mapInArrow(tidied(alike), "a long, b long")
 
     return check
 
@@ -347,7 +350,7 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
 
-    counts = docs.where(kept).select("text").mapInArrow(shingles, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.where(kept).select("text").mapInArrow(tidied(shingles), "key long").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     most = counts.where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()
     keys, seen = np.asarray(most["key"]).astype(np.int64).view(np.uint64), np.asarray(most["n"]).astype(np.int64)
     order = np.argsort(keys)
@@ -387,7 +390,7 @@ def _prefix_pairs(docs: DataFrame, joined: DataFrame, width: int, similarity: fl
                     made = [pa.array(np.concatenate(x)) for x in columns]
                     yield pa.RecordBatch.from_arrays(made, ["key", "node", "size", "place"])
 
-    rows = docs.select("text").mapInArrow(run, "key long, node long, size int, place int")
+    rows = docs.select("text").mapInArrow(tidied(run), "key long, node long, size int, place int")
     # Nearly all shingles are of one node only; one exchange drops them.
     whole = Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))

@@ -37,7 +37,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from rfspark.llm.common import cut, stretches, words_of
+from rfspark.llm.common import cut, stretches, tidied, words_of
 
 CODES = 64  # characters told apart
 SPAN = 7
@@ -375,7 +375,7 @@ def fit(
     held = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(held) < 2:
         return constant(float(1 in held))
-    found = rows.mapInArrow(word_rows, "word string, toxic int").where(F.length("word") <= 2 * WINDOW).groupBy("word")
+    found = rows.mapInArrow(tidied(word_rows), "word string, toxic int").where(F.length("word") <= 2 * WINDOW).groupBy("word")
     found = cut(found.agg(F.sum("toxic").alias("up"), F.sum(1 - F.col("toxic")).alias("down")), "toxicity")
     tied = F.log((F.col("up") + 0.5) / (F.col("down") + 0.5)) + float(np.log(held[0] / held[1]))
     best = found.where("up >= 3").withColumn("tied", tied).where("tied > 3.0")
@@ -393,7 +393,7 @@ def fit(
                         out[1].append(toxic)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32())], ["words", "toxic"])
 
-    told = rows.mapInArrow(sentence_rows, "words string, toxic int").distinct()
+    told = rows.mapInArrow(tidied(sentence_rows), "words string, toxic int").distinct()
     order = F.xxhash64("words", F.lit("sentences"))
     picked = [
         (r["words"].split(), r["toxic"])
@@ -409,7 +409,7 @@ def fit(
                 names = batch.column(0).to_pylist()
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(machine._words(names))], ["word", "margin"])
 
-        words = found.where(tied < 0.5).select("word").mapInArrow(scored, "word string, margin double")
+        words = found.where(tied < 0.5).select("word").mapInArrow(tidied(scored), "word string, margin double")
         return [r["word"] for r in words.orderBy(F.desc("margin"), "word").limit(1500).collect()]
 
     machine = train(picked, best, hard)
@@ -438,7 +438,7 @@ def scores(docs: DataFrame, machine: Machine, id_col="doc_id", text_col="text",
         F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`") for c in also]
     )
     extra = "".join(f", `{c}` {rows.schema[c].dataType.simpleString()}" for c in also)
-    return rows.mapInArrow(run, f"id long, evidence array<double>, score double{extra}")
+    return rows.mapInArrow(tidied(run), f"id long, evidence array<double>, score double{extra}")
 
 
 def keep_clean(docs: DataFrame, machine: Machine, text_col="text", threshold: float = 0.5) -> DataFrame:
@@ -452,4 +452,4 @@ def keep_clean(docs: DataFrame, machine: Machine, text_col="text", threshold: fl
                 model = held.value
                 yield part.filter(pa.array(model.probability(model.evidence(part.column(at))) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
