@@ -27,20 +27,20 @@ def nodes(spark, tree):
     return hl.flatten_tree(df)
 
 
-STATUS = group("status", text("devstate", "Running"), number("iqsamples", 61411246.421), number("errors", 0.0), number("dsboverflows", 0.7))
-HEALTH = group("healthstatus", group("Block", group("info", text("name", "x")), group("health", number("fpgatemp", 53.16)), STATUS))
+STATUS = group("status", text("devstate", "Running"), number("iqsamples", 61391500.5), number("errors", 0.0), number("dsboverflows", 0.7))
+HEALTH = group("healthstatus", group("Block", group("info", text("name", "x")), group("health", number("fpgatemp", 48.5)), STATUS))
 CONFIG = group(
     "remoteconfig",
-    group("HTTP Server", group("info", text("title", "HTTP Server"))),
+    group("Web", group("info", text("title", "web"))),
     group(
         "Block",
         group("info", text("title", "receiver")),
         group(
             "main",
-            number("centerfreq0", 854e6, min=5.5e6, max=8e9, step=1000),
+            number("centerfreq0", 1.2e9, min=1e7, max=3e9, step=500),
             {"type": "enum", "name": "decimation0", "label": "", "value": 2, "default": 0,
-             "values": ",".join(["Full"] + [f"1 / {2**k}" for k in range(1, 10)])},
-            number("reflevel0", -25.0, min=-55, max=23, step=0.5),
+             "values": "all,half,quarter,eighth"},
+            number("reflevel0", -15.0, min=-40, max=10, step=0.25),
             {"type": "enum", "name": "gpsmode", "label": "", "value": 3, "default": 0, "values": "Off, ,Pos,Time,", "disabled": 4},
         ),
     ),
@@ -49,9 +49,9 @@ CONFIG = group(
 
 def test_capabilities(spark):
     c = hl.capabilities(nodes(spark, CONFIG), nodes(spark, HEALTH)).first()
-    assert c.center_frequency_hz.asDict() == {"min": 5.5e6, "max": 8e9, "step": 1000.0}
-    assert (c.reference_level_dbm["min"], c.reference_level_dbm["max"], c.reference_level_dbm.step) == (-55.0, 23.0, 0.5)
-    assert c.decimation_steps == 10 and c.native_iq_rate_hz == pytest.approx(61411246.421)
+    assert c.center_frequency_hz.asDict() == {"min": 1e7, "max": 3e9, "step": 500.0}
+    assert (c.reference_level_dbm["min"], c.reference_level_dbm["max"], c.reference_level_dbm.step) == (-40.0, 10.0, 0.25)
+    assert c.decimation_steps == 4 and c.native_iq_rate_hz == pytest.approx(61391500.5)
     assert c.model == "receiver" and c.sample_rates[0] == 61.44e6
     assert (c.gps_modes, c.gps_mode) == (["Off", "Time"], "Time")
 
@@ -83,8 +83,20 @@ def test_what_cannot_be_read_as_a_tree(spark):
     texts = ["", "[1]", "{", '{"name":"x"}', None, '{"type":"group","items":[null,{"type":"bool","value":true}]}', "[" * 200_000]
     df = spark.createDataFrame([(i, 1, 0, t) for i, t in enumerate(texts)], "snapshot long, device_id long, at long, tree string")
     got = sorted((r.snapshot, r.depth, r.type or "", r.value_str or "") for r in hl.flatten_tree(df).collect())
-    assert got[:3] == [(5, 0, "group", ""), (5, 1, "", ""), (5, 1, "bool", "true")]
-    assert all(r[:3] == (6, 0, "error") for r in got[3:])
+    bad = [(k, 0, "error", "") for k in range(7) if k != 5]
+    assert got == sorted([*bad, (5, 0, "group", ""), (5, 1, "", ""), (5, 1, "bool", "true")])
+
+
+def test_odd_values_do_not_stop_a_tree(spark):
+    leaf = lambda value, **more: '{"type":"float","name":"%s","value":%s,"disabled":%s}' % (more.get("name", "x"), value, more.get("disabled", 0))
+    leaves = [leaf("NaN"), leaf("Infinity"), leaf("1.5", name="\\ud800"), leaf("2", disabled="99999999999999999999"), leaf("2", disabled='"x"'), leaf('"7"')]
+    leaves += [leaf("1e2"), leaf("-0.25", disabled=-1), leaf("true"), '{"type":"string","name":"s","value":[1,"a\u00e9",null],"name":"s"}']
+    trees = [(k, 1, 0, '{"type":"group","name":"g","items":[%s]}' % x) for k, x in enumerate(leaves)]
+    df = spark.createDataFrame(trees, "snapshot long, device_id long, at long, tree string")
+    rows = hl.flatten_tree(df).filter("depth = 1").orderBy("snapshot").collect()
+    assert [repr(r.value_num) for r in rows] == ["nan", "inf", "1.5", "2.0", "2.0", "7.0", "100.0", "-0.25", "None", "None"]
+    assert [r.disabled for r in rows] == [0] * 7 + [-1, 0, 0] and rows[2].name == "?"
+    assert rows[9].value_str == '[1,"a\u00e9",null]' and [r.path for r in rows[:2]] == ["g/x", "g/x"]
 
 
 def test_masked_options_keep_their_numbers(spark):
