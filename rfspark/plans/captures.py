@@ -89,21 +89,70 @@ def capture_bytes(number: int, vectors: list) -> bytes:
     return out + chunk("DSFT", struct.pack("<dqI", start + 9, foot, 1))
 
 
+def survey_bytes(number: int, vectors: list) -> bytes:
+    """One file of spectra: a frame of 64 bins a chunk, every second one compressed, and chains of links behind them."""
+    out = chunk("DSFH", struct.pack("<d", 1.7e9 + number)) + chunk("STRM", struct.pack("<Qdqd", 7, 1.7e9, 0, 2.0))
+    for k, v in enumerate(vectors):
+        v = np.asarray(v, np.float32)
+        if k % 2:
+            c = np.floor(v.astype(float) * 8 + 0.5).clip(-3, 3).astype(int)
+            data = bytes.fromhex("".join(f"{8 + 2 * abs(x) + (x < 0):x}" for x in c.tolist()))
+        else:
+            data = v.astype("<f4").tobytes()
+        fields = struct.pack("<QIBBBbddIIII", 7, 1, 5, 19, 3, 3 * (k % 2), float(k), k + 1.0, 0, 64, 1, 1)
+        out += chunk("SAMP", fields + data, 64)
+    last = {}
+    for k in range(number % 3 + 1):
+        last["antenna"], before = len(out), last.get("antenna", 0)
+        fields = struct.pack("<Qq128sddII", k, before, name128("dish"), 48.0, 11.0, 1, 1)
+        out += chunk("ANTA", fields + bytes(64) + bytes(16))
+    for k in range(number % 4 + 1):
+        last["types"], before = len(out), last.get("types", 0)
+        out += chunk("MDTT", struct.pack("<Qq", k, before) + type_definition())
+    for k in range(number % 5 + 1):
+        last["preview"], before = len(out), last.get("preview", 0)
+        fields = struct.pack("<BB6x16q16d16Q", k, 1, before, *[0] * 15, *[0.0] * 16, *[0] * 16)
+        out += chunk("SPRV", fields)
+    foot = len(out)
+    out += chunk("STRT", struct.pack("<qqqQQIII4xdqq", 24, 0, last["preview"], 50, 8, 1, 1, 1, 2.0, last["antenna"], last["types"]))
+    return out + chunk("DSFT", struct.pack("<dqI", 1.7e9, foot, 1))
+
+
+def broken_bytes(number: int, vectors: list) -> bytes:
+    """Noise, nothing at all, or a file that ends inside a chunk."""
+    cut = chunk("DSFH", struct.pack("<d", 1.7e9)) + chunk("STRM", struct.pack("<Qdqd", 7, 1.7e9, 0, 2.0))
+    fields = struct.pack("<QIBBBbddIIII", 7, 1, 5, 19, 2, 0, 0.0, 1.0, 0, 2, 1, 32)
+    cut += struct.pack("<4sIIHH", b"SAMP", 100_000, 0, 1, 64) + fields + np.asarray(vectors[0], "<f4").tobytes()
+    return (NOISE * (number + 10), b"", cut)[number % 3]
+
+
+def survey_lake(spark: SparkSession, sf: str) -> str:
+    return lake(spark, sf, "survey", survey_bytes)
+
+
+def broken_lake(spark: SparkSession, sf: str) -> str:
+    return lake(spark, sf, "broken", broken_bytes)
+
+
 def capture_lake(spark: SparkSession, sf: str) -> str:
-    """Folder of the capture files of a scale, written once per session."""
-    key = (spark.sparkContext.applicationId, sf)
+    return lake(spark, sf, "capture", capture_bytes)
+
+
+def lake(spark: SparkSession, sf: str, kind: str, made) -> str:
+    """Folder of one kind of file of a scale, written once per session."""
+    key = (spark.sparkContext.applicationId, sf, kind)
     if key in _written:
         return _written[key]
-    folder = shared_folder(spark, "captures")
+    folder = shared_folder(spark, f"{kind}s")
     system, inner = filesystem(folder)
     system.create_dir(inner, recursive=True)
 
     def write(group: pa.Table) -> pa.Table:
         group = group.sort_by("vec_id")
         number = group.column("number")[0].as_py()
-        data = capture_bytes(number, group.column("embedding").to_pylist())
+        data = made(number, group.column("embedding").to_pylist())
         fs, base = filesystem(folder)
-        name = f"{base}/capture-{number}.rf"
+        name = f"{base}/{kind}-{number}.rf"
         # A retried task writes the same bytes, and a reader never sees half a file.
         with fs.open_output_stream(name + ".part") as f:
             f.write(data)

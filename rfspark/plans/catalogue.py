@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rfspark.operators import catalogue as ca
-from rfspark.plans.captures import capture_lake
+from rfspark.plans.captures import broken_lake, capture_lake, survey_lake
 from rfspark.plans.views import fixed, fx, table
 from rfspark.sources import chunks as ch, samples as sm
 
@@ -25,9 +25,9 @@ def query(name, sql):
 _tables: dict = {}
 
 
-def _chunks(spark, sf):
-    """The chunk table of a scale's capture files, written once per session."""
-    lake = capture_lake(spark, sf)
+def _chunks(spark, sf, made=capture_lake):
+    """The chunk table of a scale's files of a kind, written once per session."""
+    lake = made(spark, sf)
     if lake not in _tables:
         _tables[lake] = ch.chunk_table(spark, lake, ".rf")
     return _tables[lake]
@@ -35,7 +35,7 @@ def _chunks(spark, sf):
 
 def numbered(df):
     """Capture number in place of the path."""
-    return df.withColumn("number", F.regexp_extract("file", r"capture-(\d+)", 1).cast("long"))
+    return df.withColumn("number", F.regexp_extract("file", r"-(\d+)\.rf$", 1).cast("long"))
 
 
 # What the capture files were written from.
@@ -192,6 +192,64 @@ def linked_substreams(spark, sf):
     return numbered(ca.linked_chunks(_chunks(spark, sf), "SSTR")).select("number", "sub_stream_id", "step")
 
 
+@query(
+    "m9_linked_chains",
+    f"""WITH {LAKE}, c AS (SELECT number, 'ANTA' AS id, number % 3 + 1 AS n FROM f UNION ALL SELECT number, 'MDTT', number % 4 + 1 FROM f UNION ALL SELECT number, 'SPRV', number % 5 + 1 FROM f)
+SELECT number, id, CAST(k AS BIGINT) AS nth, CAST(n - 1 - k AS BIGINT) AS step FROM c, (SELECT unnest(range(0, 5)) AS k) WHERE k < n""",
+)
+def linked_chains(spark, sf):
+    c, parts = _chunks(spark, sf, survey_lake), []
+    for kind, nth in (("ANTA", "antenna_id"), ("MDTT", "metadata_id"), ("SPRV", "level")):
+        rows = numbered(ca.linked_chunks(c, kind))
+        parts.append(rows.select("number", F.lit(kind).alias("id"), F.col(nth).cast("long").alias("nth"), "step"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _frame(rows, samp):
+    """Frames with their chunk's number in its file, a row per bin."""
+    k = samp.select("file", "chunk_offset", F.col("start_time").cast("long").alias("k"))
+    return numbered(rows.join(k, ["file", "chunk_offset"])).select("number", "k", F.posexplode("values").alias("bin", "level"))
+
+
+@query(
+    "s10_load_spectra",
+    f"""WITH {LAKE} SELECT number, k, CAST(b AS INTEGER) AS bin, CAST(embedding[b + 1] AS DOUBLE) AS level FROM v, (SELECT unnest(range(0, 64)) AS b) WHERE k % 2 = 0""",
+)
+def load_spectra(spark, sf):
+    samp = ch.view(_chunks(spark, sf, survey_lake), "SAMP")
+    return _frame(sm.load_spectra(samp), samp).withColumn("level", F.col("level").cast("double"))
+
+
+@query(
+    "s10_load_compressed_spectra",
+    f"""WITH {LAKE}, c AS (
+  SELECT number, k, vec_id, b, CAST(greatest(-3, least(3, floor(CAST(embedding[b+1] AS DOUBLE) * 8 + 0.5))) AS BIGINT) AS c FROM v, (SELECT unnest(range(0, 64)) AS b) WHERE k % 2 = 1),
+lv AS (SELECT unnest([1, 2, 4, 8, 16, 32]) AS s),
+d AS (
+  SELECT p.number, p.k, p.vec_id, p.b, sum((CASE WHEN p.b & lv.s = 0 THEN 1 ELSE -1 END) * q.c * pow(sqrt(0.5::DOUBLE), log2(lv.s) + 1)) AS detail
+  FROM c p, lv JOIN c q ON q.vec_id = p.vec_id AND q.b = (p.b - p.b % (2 * lv.s)) + lv.s GROUP BY 1, 2, 3, 4)
+SELECT d.number, d.k, CAST(d.b AS INTEGER) AS bin, {fx("0.4 * (d.detail + r.c * pow(sqrt(0.5::DOUBLE), 6)) + 0.00001", 3)} AS level FROM d JOIN c r ON r.vec_id = d.vec_id AND r.b = 0""",
+)
+def load_compressed_spectra(spark, sf):
+    samp = ch.view(_chunks(spark, sf, survey_lake), "SAMP")
+    rows = _frame(sm.load_compressed_spectra(samp).filter("decode_error is null"), samp)
+    return rows.withColumn("level", fixed(F.col("level").cast("double") + 0.00001, 3))
+
+
+@query(
+    "m11_unreadable_files",
+    f"""WITH {LAKE} SELECT number, CASE WHEN number % 3 < 2 THEN 3 ELSE 1 END::BIGINT AS n_errors, 1::BIGINT AS n_unreadable, false AS valid,
+  CASE number % 3 WHEN 0 THEN 'no chunk in this file' WHEN 1 THEN 'empty file' ELSE 'the file ends inside this chunk' END AS why FROM f""",
+)
+def unreadable_files(spark, sf):
+    c = _chunks(spark, sf, broken_lake)
+    captures = ca.capture_metadata(c)
+    children = [ca.with_child_number(ch.view(c, kind), 4096) for kind in ("SSTR", "ANTA", "SPRV")]
+    report = ca.validate_captures(captures, ca.capture_findings(captures, *children))
+    why = c.groupBy("file").agg(F.max("error").alias("why"))
+    return numbered(report.join(why, "file")).select("number", "n_errors", "n_unreadable", "valid", "why")
+
+
 @query(
     "m10_orphan_chunks",
     """SELECT l_orderkey AS file, l_linenumber, l_partkey % 40 AS sub_stream_id FROM lineitem l WHERE NOT EXISTS

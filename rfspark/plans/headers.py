@@ -227,6 +227,37 @@ def spectra_frames(spark, sf):
     return out.select("seq", "frame", "bin", F.col("level").cast("double").alias("level"))
 
 
+def _framed(spark, sf, kind, samples, size, depth):
+    """Each spectrum's 64 levels as a float payload of so many frames, bins and planes, decoded and cut again."""
+    b = frames(spark, sf)
+    lane = lambda odd: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda k: F.get("bins", k * 2 + odd).cast("float"))
+    wire = decode.encode_iq(b.select("seq", lane(0).alias("i"), lane(1).alias("q")), "float32", 1.0).select(
+        "seq", "payload", F.lit("float32").alias("format"), F.lit(kind).alias("kind"), F.lit(samples).alias("samples"),
+        F.lit(size).alias("sampleSize"), F.lit(depth).alias("sampleDepth"), F.lit(1e9).alias("startFrequency"), F.lit(1e9 + 64e3).alias("endFrequency"),
+    )
+    out = decode.decode_spectra(wire).select("seq", "frame", "plane", "step_hz", F.posexplode("bins").alias("bin", "level"))
+    return out.withColumn("level", F.col("level").cast("double"))
+
+
+@query(
+    "s8_histogram_planes",
+    f"""WITH {FRAME} SELECT seq, CAST(bin // 32 AS INTEGER) AS frame, CAST(bin // 8 % 4 AS INTEGER) AS plane, CAST(bin % 8 AS INTEGER) AS bin, 8000.0::DOUBLE AS step_hz,
+  CAST(CAST(level_db AS FLOAT) AS DOUBLE) AS level FROM frame""",
+)
+def histogram_planes(spark, sf):
+    """A histogram has a plane per depth in every frame."""
+    return _framed(spark, sf, "histogram", 2, 8, 4)
+
+
+@query(
+    "s8_categories",
+    f"""WITH {FRAME} SELECT seq, CAST(bin // 4 AS INTEGER) AS frame, CAST(bin % 4 AS INTEGER) AS category, CAST(CAST(level_db AS FLOAT) AS DOUBLE) AS level FROM frame""",
+)
+def categories(spark, sf):
+    """A value per category in every frame."""
+    return _framed(spark, sf, "categories", 16, 4, 1).select("seq", "frame", F.col("bin").alias("category"), "level")
+
+
 # A coefficient of at most 3 is one hex digit of the bit stream: a one, two bits
 # of size, a sign. The sum over levels is what the inverse transform comes to
 # for one row of 64 values.

@@ -173,19 +173,28 @@ def _first_chunk(f, end: int) -> int:
 
 
 def chunks_of(path: str):
-    """Rows of one file's chunks, in file order."""
+    """Rows of one file's chunks, in file order.
+
+    A place where a chunk should be but whose size cannot be one is a row with an
+    ``error``, as is a chunk that the file ends inside of (its fields are kept). A file without a
+    chunk has one row of id ``none``, so that no file is missing from a table of chunks.
+    """
     system, inner = filesystem(path)
     with system.open_input_file(inner) as f:
         end = f.size()
-        at = _first_chunk(f, end)
+        at, found, expected = _first_chunk(f, end), False, False
         while at < end:
             f.seek(at)
             head = f.read(HEADER.size)
             if len(head) < HEADER.size:
-                return
+                break
             raw, size, flags, version, header_size = HEADER.unpack(head)
-            if not KNOWN.fullmatch(raw) or not 16 <= size <= MAX_CHUNK_BYTES:
-                at = _resync(f, at + 1, end)
+            known = KNOWN.fullmatch(raw)
+            if not known or not 16 <= size <= MAX_CHUNK_BYTES:
+                if known and expected:
+                    found = True
+                    yield path, at, raw.decode(), size, flags, version, header_size, None, "size of no chunk"
+                at, expected = _resync(f, at + 1, end), False
                 continue
             ident, fields, error = raw.decode(), None, None
             wanted = size - 16 if ident == "MDTT" else 512
@@ -193,10 +202,15 @@ def chunks_of(path: str):
                 if ident == "SAMP" and not 64 <= header_size <= size:
                     raise ValueError("SAMP header size is invalid")
                 fields = json.dumps(parse_fields(ident, size, f.read(min(size - 16, wanted, MAX_TYPE_BYTES + 16))))
+                if at + size > end:
+                    error = "the file ends inside this chunk"
             except (ValueError, struct.error) as e:
                 error = str(e)
+            found, expected = True, True
             yield path, at, ident, size, flags, version, header_size, fields, error
             at += size
+        if not found:
+            yield path, 0, "none", end, 0, 0, 0, None, "no chunk in this file" if end else "empty file"
 
 
 class ChunkReader(DataSourceReader):
