@@ -6,17 +6,19 @@ samples. The driver lists paths and nothing else.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import json
 import re
 import struct
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In
 
 from rfspark.functions.tables import CHUNK_IDS, MAX_CHUNK_BYTES
 from rfspark.session import shared_folder
-from rfspark.sources.files import filesystem, listed, packed
+from rfspark.sources.files import Files, filesystem, listed, packed
 
 SCHEMA = (
     "file string, offset bigint, id string, size bigint, flags bigint, version int, header_size int, "
@@ -26,6 +28,7 @@ HEADER = struct.Struct("<4sIIHH")
 KNOWN = re.compile(b"|".join(i.encode() for i in CHUNK_IDS))
 SEARCH_BYTES = 1 << 20
 TAIL_BYTES = 1024
+SPLIT_BYTES = 1 << 30
 MAX_TYPE_DEPTH = 32
 MAX_TYPE_FIELDS = 4096
 MAX_TYPE_BYTES = 16 << 20
@@ -172,67 +175,100 @@ def _first_chunk(f, end: int) -> int:
     return _resync(f, 0, end)
 
 
-def chunks_of(path: str):
-    """Rows of one file's chunks, in file order.
+def _chunks_between(f, path: str, at: int, stop: int, end: int, wanted=None):
+    """Rows of the chunks that begin from ``at`` on and before ``stop``; returns the first sound chunk's place after.
 
     A place where a chunk should be but whose size cannot be one is a row with an
-    ``error``, as is a chunk that the file ends inside of (its fields are kept). A file without a
-    chunk has one row of id ``none``, so that no file is missing from a table of chunks.
+    ``error``, as is a chunk that the file ends inside of (its fields are kept).
+    Fields are read of ``wanted`` kinds only, of all where it is None.
     """
-    system, inner = filesystem(path)
-    with system.open_input_file(inner) as f:
-        end = f.size()
-        at, found, expected = _first_chunk(f, end), False, False
-        while at < end:
-            f.seek(at)
-            head = f.read(HEADER.size)
-            if len(head) < HEADER.size:
-                break
-            raw, size, flags, version, header_size = HEADER.unpack(head)
-            known = KNOWN.fullmatch(raw)
-            if not known or not 16 <= size <= MAX_CHUNK_BYTES:
-                if known and expected:
-                    found = True
-                    yield path, at, raw.decode(), size, flags, version, header_size, None, "size of no chunk"
-                at, expected = _resync(f, at + 1, end), False
-                continue
-            ident, fields, error = raw.decode(), None, None
-            wanted = size - 16 if ident == "MDTT" else 512
+    expected = False
+    while at < end:
+        f.seek(at)
+        head = f.read(HEADER.size)
+        if len(head) < HEADER.size:
+            return end
+        raw, size, flags, version, header_size = HEADER.unpack(head)
+        known = KNOWN.fullmatch(raw)
+        if not known or not 16 <= size <= MAX_CHUNK_BYTES:
+            if known and expected:
+                yield path, at, raw.decode(), size, flags, version, header_size, None, "size of no chunk"
+            at, expected = _resync(f, at + 1, end), False
+            continue
+        if at >= stop:
+            return at
+        ident, fields, error = raw.decode(), None, None
+        if wanted is None or ident in wanted:
+            body = size - 16 if ident == "MDTT" else 512
             try:
                 if ident == "SAMP" and not 64 <= header_size <= size:
                     raise ValueError("SAMP header size is invalid")
-                fields = json.dumps(parse_fields(ident, size, f.read(min(size - 16, wanted, MAX_TYPE_BYTES + 16))))
+                fields = json.dumps(parse_fields(ident, size, f.read(min(size - 16, body, MAX_TYPE_BYTES + 16))))
                 if at + size > end:
                     error = "the file ends inside this chunk"
             except (ValueError, struct.error) as e:
                 error = str(e)
-            found, expected = True, True
-            yield path, at, ident, size, flags, version, header_size, fields, error
-            at += size
-        if not found:
-            yield path, 0, "none", end, 0, 0, 0, None, "no chunk in this file" if end else "empty file"
+        yield path, at, ident, size, flags, version, header_size, fields, error
+        at, expected = at + size, True
+    return end
+
+
+def _nothing(path: str, end: int):
+    """The one row of a file without a chunk, so that no file is missing from a table of chunks."""
+    return path, 0, "none", end, 0, 0, 0, None, "no chunk in this file" if end else "empty file"
+
+
+def chunks_of(path: str, wanted=None):
+    """Rows of one file's chunks, in file order; one row of id ``none`` where it has no chunk."""
+    system, inner = filesystem(path)
+    with system.open_input_file(inner) as f:
+        end, found = f.size(), False
+        for row in _chunks_between(f, path, _first_chunk(f, end), end, end, wanted):
+            found = True
+            if wanted is None or row[2] in wanted:
+                yield row
+        if not found and (wanted is None or "none" in wanted):
+            yield _nothing(path, end)
+
+
+def _batches(rows, schema: str):
+    """Arrow batches of a few thousand rows."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+    types = [kinds[c.split()[1]] for c in schema.split(", ")]
+    rows = iter(rows)
+    while some := list(itertools.islice(rows, 4096)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), types)], names=names)
 
 
 class ChunkReader(DataSourceReader):
+    """Whole files, a group of small ones to a task.
+
+    Filters on ``file`` choose the files to list, filters on ``id`` the kinds whose bodies are read.
+    """
+
     def __init__(self, options):
+        options = {k.lower(): v for k, v in options.items()}
         self.path, self.suffix = options["path"], options.get("suffix", "")
+        self.below = int(options.get("below", 1 << 62))
+        self.files = self.kinds = None
+
+    def pushFilters(self, filters):
+        for one in filters:
+            values = {one.value} if isinstance(one, EqualTo) else set(one.value) if isinstance(one, In) else None
+            if values is not None and one.attribute == ("file",):
+                self.files = values if self.files is None else self.files & values
+            elif values is not None and one.attribute == ("id",):
+                self.kinds = values if self.kinds is None else self.kinds & values
+            else:
+                yield one
 
     def partitions(self):
-        return packed(listed(self.path, self.suffix))
+        files = [x for x in listed(self.path, self.suffix) if x[1] <= self.below and (self.files is None or x[0] in self.files)]
+        return packed(files) or [Files([])]
 
     def read(self, partition):
-        names = [c.split()[0] for c in SCHEMA.split(", ")]
-        kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
-        types = [kinds[c.split()[1]] for c in SCHEMA.split(", ")]
-        rows = []
-        for name in partition.names:
-            for row in chunks_of(name):
-                rows.append(row)
-                if len(rows) == 4096:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-                    rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+        return _batches((row for name in partition.names for row in chunks_of(name, self.kinds)), SCHEMA)
 
 
 class ChunkSource(DataSource):
@@ -249,9 +285,91 @@ class ChunkSource(DataSource):
         return ChunkReader(self.options)
 
 
-def scan_chunks(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+def scan_chunks(spark: SparkSession, path: str, suffix: str = "", split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Chunks of all files. A file of more than ``split_bytes`` is read by a task per stretch of that size."""
     spark.dataSource.register(ChunkSource)
-    return spark.read.format("rf_chunks").option("suffix", suffix).load(path)
+    # Without this, Spark asks a Python source for everything and filters after.
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    small = spark.read.format("rf_chunks").option("suffix", suffix).option("below", split_bytes).load(path)
+    large = [x for x in listed(path, suffix) if x[1] > split_bytes]
+    return small.unionByName(_scan_stretches(spark, large, split_bytes)) if large else small
+
+
+STRETCH = "file string, size bigint, start bigint, stop bigint, entry bigint"
+FOUND = SCHEMA + ", start bigint, entry bigint, exit bigint"
+
+
+def _read_stretches(batches):
+    """Chunks of each stretch, and a row without an id that says where its chain began and left it."""
+    for batch in batches:
+        for path, size, start, stop, entry in zip(*(c.to_pylist() for c in batch.columns)):
+            yield from _batches(_stretch(path, size, start, stop, entry), FOUND)
+
+
+def _stretch(path, size, start, stop, entry):
+    system, inner = filesystem(path)
+    with system.open_input_file(inner) as f:
+        if entry is None:
+            # A guess: the first place that looks like a sound chunk.
+            places = _chunks_between(f, path, start if start else _first_chunk(f, size), 0, size, ())
+            entry = _drained(places)
+        chain = _chunks_between(f, path, entry, stop, size)
+        while True:
+            try:
+                row = next(chain)
+            except StopIteration as done:
+                yield *(path, entry, None, 0, 0, 0, 0, None, None), start, entry, done.value
+                return
+            yield *row, start, entry, None
+
+
+def _drained(places):
+    try:
+        while True:
+            next(places)
+    except StopIteration as done:
+        return done.value
+
+
+def _scan_stretches(spark: SparkSession, files: list, split: int) -> DataFrame:
+    """Chunks of large files, every stretch of a file read by its own task.
+
+    A task guesses where the first chunk in its stretch is and hops on from there, so
+    a stretch is a map from one entry to one exit. The true entry is where the
+    stretch before was left; following that from the front of each file tells
+    which guesses hold, which stretches lie inside one chunk, and which must be read again from
+    another entry (samples that look like a chunk, at the very border). The driver holds
+    three numbers a stretch, 100 000 of them for 100 TB.
+    """
+    todo = [(name, size, at, min(at + split, size), None) for name, size in files for at in range(0, size, split)]
+    stops = {(t[0], t[2]): t[3] for t in todo}
+    known: dict = {}
+    tables, chosen = [], []
+    while todo:
+        ask = spark.createDataFrame(todo, STRETCH).repartition(len(todo), "file", "start")
+        found = ask.mapInArrow(_read_stretches, FOUND)
+        folder = shared_folder(spark, "stretches")
+        found.write.parquet(folder)
+        table = spark.read.schema(found.schema).parquet(folder)
+        tables.append(table)
+        for r in table.filter("id is null").select("file", "start", "entry", "exit").toLocalIterator():
+            known[r["file"], r["start"]] = (r["entry"], r["exit"])
+        todo, chosen = [], []
+        for name, size in files:
+            entry = known[name, 0][0]
+            for at in range(0, size, split):
+                if entry >= stops[name, at]:
+                    continue
+                if known[name, at][0] != entry:
+                    todo.append((name, size, at, stops[name, at], entry))
+                    break
+                chosen.append((name, at, entry))
+                entry = known[name, at][1]
+    used = spark.createDataFrame(chosen, "file string, start bigint, entry bigint")
+    rows = functools.reduce(DataFrame.unionByName, tables).filter("id is not null")
+    rows = rows.join(used, ["file", "start", "entry"], "left_semi").select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    empty = [_nothing(name, size) for name, size in files if known[name, 0][0] >= size]
+    return rows.unionByName(spark.createDataFrame(empty, SCHEMA)) if empty else rows
 
 
 def chunk_table(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:

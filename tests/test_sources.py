@@ -1,13 +1,18 @@
 """Sources: any store, cut files, and nothing dropped without a row."""
 
 import json
+import os
+import random
+import struct
 
 import numpy as np
 from pyarrow import fs
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, In
 
+from rfspark.plans import captures as cp
 from rfspark.session import ship
-from rfspark.sources import dumps, files, samples
+from rfspark.sources import chunks as ch, dumps, files, samples
 
 
 def header(n):
@@ -104,3 +109,59 @@ def test_compressed_chunks_never_become_zeros(spark, tmp_path):
     )
     got = samples.load_compressed_spectra(df).collect()
     assert len(got) == 3 and all(r.values is None and r.decode_error for r in got)
+
+
+def tricky_file(rng, n):
+    """Chunks of many sizes whose samples hold what looks like chunks, noise between them, bad sizes and a cut at the end."""
+    out = b""
+    for k in range(n):
+        kind = rng.choice(["SAMP", "SAMP", "STRM", "DSFH", "noise", "bad"])
+        if kind == "noise":
+            out += bytes(rng.randrange(256) for _ in range(rng.randrange(40)))
+        elif kind == "bad":
+            out += struct.pack("<4sIIHH", b"STRT", 3, 0, 1, 16)
+        elif kind == "SAMP":
+            fake = struct.pack("<4sIIHH", rng.choice([b"DSFH", b"SAMP"]), rng.choice([24, 40, 200]), 0, 1, 64)
+            body = b"".join(rng.choice([fake, b"abcd"]) for _ in range(rng.choice([2, 10, 120])))
+            out += cp.chunk("SAMP", struct.pack("<QIBBBbddIIII", 7, 1, 5, 19, 2, 0, 0.0, 1.0, 0, 2, 1, 1) + body, 64)
+        else:
+            out += cp.chunk(kind, struct.pack("<Qdqd", 7, 1.0, 0, 2.0) if kind == "STRM" else struct.pack("<d", 1.0))
+    return out[: len(out) - rng.choice([0, 7])]
+
+
+def test_one_file_read_by_many_tasks_gives_the_rows_of_one_pass(spark, tmp_path):
+    rng = random.Random(8)
+    for k in range(4):
+        (tmp_path / f"file-{k}.rf").write_bytes(tricky_file(rng, 60))
+    (tmp_path / "front.rf").write_bytes(cp.capture_bytes(3, [[0.5] * 64] * 40))
+    (tmp_path / "noise.rf").write_bytes(b"\1\2" * 4000)
+    whole = sorted(map(str, ch.scan_chunks(spark, str(tmp_path), ".rf").collect()))
+    assert sum("size of no chunk" in r for r in whole) > 3 and any("no chunk in this file" in r for r in whole)
+    for split in (700, 3000):
+        assert sorted(map(str, ch.scan_chunks(spark, str(tmp_path), ".rf", split_bytes=split).collect())) == whole
+
+
+def test_filters_choose_files_and_kinds_before_they_are_read(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"file-{k}.rf").write_bytes(cp.capture_bytes(k, [[0.5] * 64] * 9))
+    chunks, name = ch.scan_chunks(spark, str(tmp_path), ".rf"), str(tmp_path / "file-1.rf")
+    wanted = chunks.filter((F.col("id") == "SSTR") & (F.col("file") == name))
+    assert [r.file for r in wanted.collect()] == [name, name]
+    reader = ch.ChunkReader({"path": str(tmp_path), "suffix": ".rf"})
+    assert list(reader.pushFilters([EqualTo(("id",), "SSTR"), In(("file",), (name,)), EqualTo(("size",), 3)])) == [EqualTo(("size",), 3)]
+    assert [p.names for p in reader.partitions()] == [[name]]
+    # Bodies of other kinds are not read.
+    taken = []
+    with open(name, "rb") as f:
+        class Counted:
+            seek, tell = f.seek, f.tell
+
+            def read(self, n):
+                data = f.read(n)
+                taken.append(len(data))
+                return data
+
+        end = os.path.getsize(name)
+        few = sum(1 for _ in ch._chunks_between(Counted(), name, 0, end, end, {"SSTR"}))
+        read_few, taken[:] = sum(taken), []
+        assert few == sum(1 for _ in ch._chunks_between(Counted(), name, 0, end, end)) and read_few < sum(taken) / 3
