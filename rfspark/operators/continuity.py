@@ -58,9 +58,9 @@ def with_subconnection(packets: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
 
     A new connection and a lost packet each start a new stretch.
     """
-    opened = ordered_scan(packets, "stream_id", "seq", {"__conn": previous(F.col("connection_id"))}, block)
-    cut = (F.col("payload") == "lost") | (F.col("__conn") != F.col("connection_id"))
-    scans = {"subconnection": total(F.coalesce(cut, F.lit(False)).cast("long"))}
+    opened = cut(ordered_scan(packets, "stream_id", "seq", {"__conn": previous(F.col("connection_id"))}, block), "opened")
+    starts = (F.col("payload") == "lost") | (F.col("__conn") != F.col("connection_id"))
+    scans = {"subconnection": total(F.coalesce(starts, F.lit(False)).cast("long"))}
     return ordered_scan(opened, "stream_id", "seq", scans, block).drop("__conn")
 
 
@@ -166,7 +166,7 @@ def with_jitter(classified: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
     counted = ordered_scan(classified, "stream_id", "seq", {"__n": total(judged.cast("long"))}, block)
     size = F.abs(F.col("gap")).cast("double")
     level = F.when(judged & (size > 0), F.log(size) - F.col("__n") * F.lit(decay))
-    scanned = ordered_scan(counted, "stream_id", "seq", {"__top": peak(level)}, block)
+    scanned = ordered_scan(cut(counted, "counted"), "stream_id", "seq", {"__top": peak(level)}, block)
     jitter = F.coalesce(F.exp(F.col("__top") + F.col("__n") * F.lit(decay)), F.lit(0.0))
     return scanned.withColumn("jitter", jitter).drop("__n", "__top")
 
@@ -508,7 +508,7 @@ def with_epoch_first(numbered: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
     opens = is_gap() | F.col("geometry_change").isNotNull()
     retune = F.coalesce(F.col("geometry_change") == "retune", F.lit(False))
     start = latest({"first_sample": F.col("first_sample"), "retune": retune}, F.coalesce(opens, F.lit(False)))
-    rows = ordered_scan(numbered, "stream_id", "seq", {"__open": start}, block)
+    rows = ordered_scan(cut(numbered, "numbered"), "stream_id", "seq", {"__open": start}, block)
     return rows.withColumns(
         {"epoch_first": F.col("__open.first_sample"), "after_retune": F.col("__open.retune")}
     ).drop("__open")

@@ -62,7 +62,8 @@ def ordered_scan(df: DataFrame, keys, order, scans: dict, block=DEFAULT_BLOCK) -
 
     ``order`` is one column name or several; blocks are cut on the first.
     ``block=None`` keeps each key in a single window partition, for callers who
-    know that their keys are small. Keys and order must not be null.
+    know that their keys are small. Keys and order must not be null. ``df`` is read
+    twice, so a scan over the result of another is best given a written table.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     order = [order] if isinstance(order, str) else list(order)

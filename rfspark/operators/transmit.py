@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rfspark.operators.scan import DEFAULT_BLOCK, ordered_scan, peak, total_before
+from rfspark.session import cut
 
 
 def schedule_bursts(bursts: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
@@ -19,7 +20,7 @@ def schedule_bursts(bursts: DataFrame, block=DEFAULT_BLOCK) -> DataFrame:
         bursts, "stream_id", "seq", {"__busy": total_before(F.col("duration") + F.col("guard"))}, block
     )
     placed = ordered_scan(
-        busy, "stream_id", "seq", {"__slack": peak(F.col("desired") - F.col("__busy"))}, block
+        cut(busy, "bursts"), "stream_id", "seq", {"__slack": peak(F.col("desired") - F.col("__busy"))}, block
     )
     start = F.col("__busy") + F.col("__slack")
     return placed.withColumn("start", start).withColumn("end", start + F.col("duration")).drop("__busy", "__slack")
