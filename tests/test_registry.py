@@ -13,6 +13,8 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = [
     "g9_epochs", "g2_adaptive_tolerance", "g5_retunes_announced_baseline", "g8_break_log", "s3_parse_headers",
     "s6_decode_int16_scaled", "m3_band_join", "r3_reblock", "p5_channel_power", "l3_throughput", "h2_block_health",
+    "h1_flatten_tree", "m9_linked_chains", "m11_unreadable_files", "s10_load_spectra", "s10_load_compressed_spectra",
+    "s8_histogram_planes", "s8_categories", "t3_connection_sessions", "t5_enriched_breaks",
 ]
 
 
