@@ -2,18 +2,18 @@
 
 A text is split into characters, and pairs of neighbours whose joined string is
 a piece are merged in the order of piece scores, leftmost first. With dropout,
-each candidate merge is skipped when a keyed hash of its place says so: the key
-is the seed, the segment (a word with the spaces ahead of it), the variant and
-the characters that the candidate spans. So a segmentation depends on nothing
-but the text and the keys, and repeats exactly when a task runs again. Which of
-``variants`` segmentations an occurrence gets depends on the seed, the
-document's id and the occurrence's place. Without dropout the ids are the
-library's own.
-
-No piece holds a space behind another character, so segments are independent,
-and each distinct (segment, variant) of a batch is worked out once: short ones
-side by side in arrays, one merge each per round; long ones one at a time with a
-heap as the agenda.
+each candidate merge is skipped when a keyed hash of its place says so: the key is the seed,
+the document's id, the segment (a word with the spaces ahead of it), its place
+among the document's segments, and the characters that the candidate spans. So
+every occurrence of a word is segmented on its own, and alike when a task runs
+again. Without dropout the ids are the library's own.
+
+No piece holds a space behind another character, so segments are independent.
+Short ones are worked out side by side in arrays, one merge each per round.
+Occurrences of a segment share its state for as long as the same candidates were
+skipped; only those with a skip of their own branch off, so a merge is made once
+for a state and a hash is taken for an occurrence. Long segments go one at a time
+with a heap as the agenda.
 
 Characters without a piece, and the piece model's own space sign when a text
 holds it literally, are written as bytes, so decoding gives every text back.
@@ -36,18 +36,19 @@ from rfspark.llm.common import mix64, stretches
 SPACE = "▁"
 SHORT = 32  # symbols; longer segments go through the heap
 TEXT_BYTES = 8 << 20  # text worked on at a time
+OCCURRENCES = 200_000  # segments of one length worked on side by side
 NONE = np.int32(2**30)
 
 
 class MergeDropout:
     """The encoder of one model, rate and seed."""
 
-    def __init__(self, path: str, rate: float = 0.1, seed: int = 0, variants: int = 8):
+    def __init__(self, path: str, rate: float = 0.1, seed: int = 0):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         model, n = self.model, self.model.get_piece_size()
-        self.seed, self.variants, self.rate = seed, variants, rate
+        self.seed, self.rate = seed, rate
         self.bound = np.uint64(min(int(rate * 2**64), 2**64 - 1))
         skip = [model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i) for i in range(n)]
         names = [model.id_to_piece(i) for i in range(n)]
@@ -78,10 +79,11 @@ class MergeDropout:
 
     def _build(self, pairs: dict) -> None:
         """An open table from a pair of ids to the id of the merged piece."""
-        size = 1 << 20
+        bits = max(4, (4 * len(pairs)).bit_length())
+        size, self.shift = 1 << bits, 32 - bits
         self.keys, self.merged = np.full(size, -1, np.int64), np.full(size, self.none, np.int32)
         for key, value in pairs.items():
-            at = (key * 0x9E3779B1 & 0xFFFFFFFF) >> 12
+            at = (key * 0x9E3779B1 & 0xFFFFFFFF) >> self.shift
             while self.keys[at] >= 0:
                 at = at + 1 & size - 1
             self.keys[at], self.merged[at] = key, value
@@ -91,7 +93,7 @@ class MergeDropout:
         out = np.full(a.shape, self.none, np.int32)
         at = np.flatnonzero((a >= 0) & (b >= 0))
         key = a.ravel()[at].astype(np.int64) << 16 | b.ravel()[at]
-        slot = ((key * 0x9E3779B1) & 0xFFFFFFFF) >> 12
+        slot = ((key * 0x9E3779B1) & 0xFFFFFFFF) >> self.shift
         flat = out.ravel()
         while len(at):
             there = self.keys[slot]
@@ -106,29 +108,47 @@ class MergeDropout:
         place = (lo.astype(np.uint64) << np.uint64(42)) ^ (mid.astype(np.uint64) << np.uint64(21)) ^ hi.astype(np.uint64)
         return mix64(key + place * np.uint64(0x9E3779B97F4A7C15)) < self.bound
 
-    def _short(self, sym: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Segments of one length, a row each: their final symbols (padded) and how many."""
+    def _short(self, sym: np.ndarray, state: np.ndarray, key: np.ndarray):
+        """Occurrences of segments of one length.
+
+        ``sym`` has a row for each segment, ``state`` each occurrence's segment.
+        Gives rows of final symbols (padded), how many each has, and each
+        occurrence's row.
+        """
         n, width = sym.shape
+        done, ends = [], []
+        final = np.full(len(state), -1)
+        who = np.arange(len(state))
         size = np.full(n, width)
-        done = sym.copy()
-        rows = np.arange(n)
         beg = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
         cand = np.full((n, width), self.none, np.int32)
+        made_rows = 0
         if width > 1:
-            cand[:, :-1] = self._candidates(sym[:, :-1], sym[:, 1:], key[:, None], beg[:, :-2], beg[:, 1:-1], beg[:, 2:])
+            cand[:, :-1] = self._merge(sym[:, :-1], sym[:, 1:])
+            offered = [np.full(n, p) for p in range(width - 1)]
+        else:
+            offered = []
         live = np.arange(width)
-        while len(rows):
+        while True:
+            sym, beg, cand, size, state = self._branched(sym, beg, cand, size, state, key, offered)
             rank = self.rank[cand]
             at = rank.argmin(axis=1)
-            here = np.arange(len(rows))
-            go = rank[here, at] < NONE
-            if not go.all():
-                stop = ~go
-                done[rows[stop]] = sym[stop]
-                rows, sym, beg, cand, key, at = (x[go] for x in (rows, sym, beg, cand, key, at))
-                here = np.arange(len(rows))
-                if not len(rows):
-                    break
+            go = rank[np.arange(len(sym)), at] < NONE
+            stop = np.flatnonzero(~go)
+            if len(stop):
+                row = np.full(len(sym), -1)
+                row[stop] = made_rows + np.arange(len(stop))
+                made_rows += len(stop)
+                done.append(sym[stop])
+                ends.append(size[stop])
+                over = ~go[state]
+                final[who[over]] = row[state[over]]
+                new = np.cumsum(go) - 1
+                who, key, state = who[~over], key[~over], new[state[~over]]
+                sym, beg, cand, size, at = (x[go] for x in (sym, beg, cand, size, at))
+            if not len(sym):
+                break
+            here = np.arange(len(sym))
             made = cand[here, at]
             shift = live[None, :] + (live[None, :] > at[:, None])
             shift[:, -1] = np.minimum(shift[:, -1], width - 1)
@@ -138,21 +158,52 @@ class MergeDropout:
             cand[:, -1] = self.none
             wide = np.arange(width + 1)
             beg = np.take_along_axis(beg, np.minimum(wide[None, :] + (wide[None, :] > at[:, None]), width), 1)
-            size[rows] -= 1
-            left = size[rows]
+            size = size - 1
             for there in (at - 1, at):
-                ok = (there >= 0) & (there + 1 < left)
-                cand[here[~ok & (there >= 0)], there[~ok & (there >= 0)]] = self.none
+                cand[here[there >= 0], there[there >= 0]] = self.none
+                ok = (there >= 0) & (there + 1 < size)
                 r, p = here[ok], there[ok]
                 if len(r):
-                    cand[r, p] = self._candidates(sym[r, p], sym[r, p + 1], key[r], beg[r, p], beg[r, p + 1], beg[r, p + 2])
-        return done, size
+                    cand[r, p] = self._merge(sym[r, p], sym[r, p + 1])
+            offered = [at - 1, at]
+        return np.concatenate(done), np.concatenate(ends), final
 
-    def _candidates(self, a, b, key, lo, mid, hi):
-        made = self._merge(a, b)
-        if self.rate > 0:
-            made[self._dropped(key, lo, mid, hi)] = self.none
-        return made
+    def _branched(self, sym, beg, cand, size, state, key, offered):
+        """The states after newly offered candidates (a place in each state, or -1) are skipped or not.
+
+        An occurrence that skips none keeps its state; the others share a state where they skip the same.
+        """
+        if self.rate <= 0 or not offered:
+            return sym, beg, cand, size, state
+        skips = np.zeros(len(state), np.int64)
+        every = np.arange(len(sym))
+        for bit, place in enumerate(offered):
+            at = np.maximum(place, 0)
+            there = (place >= 0) & (cand[every, at] < self.none)
+            lo, mid = beg[every, at], beg[every, np.minimum(at + 1, beg.shape[1] - 1)]
+            hi = beg[every, np.minimum(at + 2, beg.shape[1] - 1)]
+            mine = np.flatnonzero(there[state])
+            of = state[mine]
+            skip = self._dropped(key[mine], lo[of], mid[of], hi[of])
+            skips[mine[skip]] |= 1 << bit
+        odd = np.flatnonzero(skips)
+        if not len(odd):
+            return sym, beg, cand, size, state
+        kinds, of = np.unique(state[odd] << len(offered) | skips[odd], return_inverse=True)
+        came = kinds >> len(offered)
+        branch = cand[came]
+        for bit, place in enumerate(offered):
+            hit = np.flatnonzero(kinds >> bit & 1)
+            branch[hit, place[came[hit]]] = self.none
+        state = state.copy()
+        state[odd] = len(sym) + of
+        # States that nobody is in any more are left out.
+        used = np.zeros(len(sym) + len(kinds), bool)
+        used[state] = True
+        new = np.cumsum(used) - 1
+        parts = ((sym, sym[came]), (beg, beg[came]), (cand, branch), (size, size[came]))
+        sym, beg, cand, size = (np.concatenate(x)[used] for x in parts)
+        return sym, beg, cand, size, new[state]
 
     def _long(self, sym: list[int], key: np.uint64) -> list[int]:
         """One segment, with a heap of candidate merges as the agenda."""
@@ -167,7 +218,7 @@ class MergeDropout:
             made = self.pairs.get(sym[i] << 16 | sym[j])
             if made is None:
                 return
-            if self.rate > 0 and self._dropped(key, *(np.array([x]) for x in (i, j, end[j])))[0]:
+            if self.rate > 0 and self._dropped(key, *np.array([[i], [j], [end[j]]]))[0]:
                 return
             heapq.heappush(agenda, (int(self.rank[made]), i, j, end[j], made))
 
@@ -211,7 +262,7 @@ class MergeDropout:
     def encode(self, texts: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts end to end, and where each text's begin (one place more).
 
-        ``keys``: an unsigned 64-bit value for each text; it picks variants.
+        ``keys``: an unsigned 64-bit value for each text, which its drops depend on.
         """
         texts = texts.fill_null("")
         words, starts = self._segments(texts)
@@ -223,53 +274,55 @@ class MergeDropout:
         if not len(words):
             return np.zeros(0, np.int32), starts
         coded = words.dictionary_encode()
-        codes = np.asarray(coded.indices).astype(np.int64)
+        codes, names = np.asarray(coded.indices).astype(np.int64), coded.dictionary.to_pylist()
         if self.rate > 0:
+            named = np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in names), np.uint64, len(names))
             doc = np.repeat(keys.astype(np.uint64), np.diff(starts))
             nth = np.arange(len(codes), dtype=np.uint64) - np.repeat(starts[:-1], np.diff(starts)).astype(np.uint64)
             salt = np.uint64(self.seed * 0x9E3779B97F4A7C15 & 2**64 - 1)
-            pick = mix64(doc + mix64(nth + salt))
-            variant = (pick % np.uint64(self.variants)).astype(np.int64)
+            flat, size, of = self._encoded(names, codes, mix64(named[codes] + mix64(doc + mix64(nth + salt))))
         else:
-            variant = np.zeros(len(codes), np.int64)
-        kinds, of = np.unique(codes * self.variants + variant, return_inverse=True)
-        names = coded.dictionary.take(pa.array(kinds // self.variants)).to_pylist()
-        flat, size = self._encoded(names, kinds % self.variants)
+            flat, size, of = self._encoded(names, np.arange(len(names)), np.zeros(len(names), np.uint64))
+            of = of[codes]
         lengths = size[of]
         ends, first = np.cumsum(lengths), np.cumsum(size) - size
         at = np.arange(ends[-1]) + np.repeat(first[of] - (ends - lengths), lengths)
         return flat[at], np.concatenate([[0], ends])[starts]
 
-    def _encoded(self, names: list[str], variant: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Final ids of some segments, end to end, and how many each has."""
+    def _encoded(self, names: list[str], codes: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Final ids of some segmentations, end to end, how many each has, and each occurrence's segmentation.
+
+        ``codes``: the segment of each occurrence; ``key``: its key.
+        """
         n = len(names)
-        named = np.fromiter((xxhash.xxh64_intdigest(w, self.seed) for w in names), np.uint64, n)
-        key = mix64(named + variant.astype(np.uint64))
         width = np.fromiter(map(len, names), np.int64, n) + 1
-        joined = np.frombuffer((" " + " ".join(names)).encode("utf-32-le"), np.uint32)
-        sym = self.char[joined]
+        sym = self.char[np.frombuffer((" " + " ".join(names)).encode("utf-32-le"), np.uint32)]
         first = np.cumsum(width) - width
-        parts, owner = [], []
-        for w in np.unique(width):
-            rows = np.flatnonzero(width == w)
+        # Occurrences by length of segment, and by segment within one length.
+        order = np.lexsort((codes, width[codes]))
+        wide, begun = np.unique(width[codes[order]], return_index=True)
+        parts, sizes, of, made = [], [], np.empty(len(codes), np.int64), 0
+        for w, lo, hi in zip(wide.tolist(), begun, [*begun[1:], len(order)]):
             if w > SHORT:
-                for r in rows:
-                    out = self._long(sym[first[r] : first[r] + w].tolist(), key[r])
+                for o in order[lo:hi].tolist():
+                    start = first[codes[o]]
+                    out = self._long(sym[start : start + w].tolist(), key[o])
                     parts.append(np.array(out, np.int32))
-                    owner.append(np.full(len(out), r))
+                    sizes.append([len(out)])
+                    of[o], made = made, made + 1
                 continue
-            for at in range(0, len(rows), 50_000):
-                some = rows[at : at + 50_000]
-                got, size = self._short(sym[first[some][:, None] + np.arange(w)], key[some])
-                keep = np.arange(w)[None, :] < size[:, None]
-                parts.append(got[keep])
-                owner.append(np.repeat(some, size))
-        flat, owner = np.concatenate(parts), np.concatenate(owner)
-        order = np.argsort(owner, kind="stable")
-        flat, owner = flat[order], owner[order]
+            for at in range(lo, hi, OCCURRENCES):
+                some = order[at : min(at + OCCURRENCES, hi)]
+                kinds, state = np.unique(codes[some], return_inverse=True)
+                got, size, row = self._short(sym[first[kinds][:, None] + np.arange(w)], state, key[some])
+                parts.append(got[np.arange(w)[None, :] < size[:, None]])
+                sizes.append(size)
+                of[some], made = row + made, made + len(size)
+        flat, size = np.concatenate(parts), np.concatenate(sizes).astype(np.int64)
         if (flat < 0).any():
-            flat, owner = self._as_bytes(flat, owner)
-        return flat, np.bincount(owner, minlength=n)
+            flat, owner = self._as_bytes(flat, np.repeat(np.arange(made), size))
+            size = np.bincount(owner, minlength=made)
+        return flat, size, of
 
     def _as_bytes(self, flat, owner):
         """Characters without a piece, as the ids of their bytes."""
@@ -304,11 +357,11 @@ def _keys(ids: pa.Array) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(x) for x in names), np.uint64, len(names))
 
 
-def encode(docs: DataFrame, model: str, id_col="doc_id", text_col="text", rate=0.1, seed=0, variants=8) -> DataFrame:
+def encode(docs: DataFrame, model: str, id_col="doc_id", text_col="text", rate=0.1, seed=0) -> DataFrame:
     """``id, ids`` for every row."""
 
     def run(batches):
-        coder = MergeDropout(model, rate, seed, variants)
+        coder = MergeDropout(model, rate, seed)
         for batch in batches:
             for part in stretches(batch, 1, TEXT_BYTES):
                 ids, starts = coder.encode(part.column(1), _keys(part.column(0)))
@@ -332,11 +385,11 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.select("id", "ids").mapInArrow(run, "id long, text string")
 
 
-def round_trip(docs: DataFrame, model: str, id_col="doc_id", text_col="text", rate=0.1, seed=0, variants=8) -> DataFrame:
+def round_trip(docs: DataFrame, model: str, id_col="doc_id", text_col="text", rate=0.1, seed=0) -> DataFrame:
     """Encode and decode in one pass: ``id, n_ids, ids_crc32, decoded_crc32, lossless`` for every row."""
 
     def run(batches):
-        coder = MergeDropout(model, rate, seed, variants)
+        coder = MergeDropout(model, rate, seed)
         for batch in batches:
             for part in stretches(batch, 1, TEXT_BYTES):
                 texts = part.column(1).fill_null("")

@@ -115,8 +115,25 @@ def test_short_and_long_ways_agree():
         text = "".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 30)))
         sym = coder.char[np.frombuffer((" " + text).encode("utf-32-le"), np.uint32)]
         key = np.array([rng.getrandbits(64)], np.uint64)
-        short, size = coder._short(sym[None, :], key)
-        assert short[0, : size[0]].tolist() == coder._long(sym.tolist(), key[0])
+        short, size, row = coder._short(sym[None, :], np.zeros(40, np.int64), key + np.arange(40, dtype=np.uint64))
+        for i, r in enumerate(row.tolist()):
+            assert short[r, : size[r]].tolist() == coder._long(sym.tolist(), key[0] + np.uint64(i))
+
+
+def test_every_occurrence_of_a_word_is_drawn_on_its_own():
+    """The share of occurrences that differ from the plain segmentation is that of a drop among its candidates."""
+    coder = merge_dropout.MergeDropout(PIECES, 0.1, 5)
+    n = 4000
+    for word in ("the", "because", "mother", "government"):
+        ids, starts = coder.encode(pa.array([word] * n), np.arange(n, dtype=np.uint64))
+        kinds = [tuple(ids[a:b]) for a, b in zip(starts, starts[1:])]
+        plain = tuple(merge_dropout.MergeDropout(PIECES, 0.0).encode(pa.array([word]), np.zeros(1, np.uint64))[0])
+        share = sum(k != plain for k in kinds) / n
+        # One candidate at least has to be skipped, and each is with the rate.
+        assert 0.08 < share < 0.95 and len(set(kinds)) >= (3 if len(word) == 3 else 8)
+        one, at = coder.encode(pa.array([" ".join([word] * n)]), np.array([7], np.uint64))
+        assert at.tolist() == [0, len(one)] and len(one) > n
+        assert coder.decode(one, at).to_pylist() == [" ".join([word] * n)]
 
 
 def test_dropout_in_spark(spark):
