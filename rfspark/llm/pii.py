@@ -54,6 +54,9 @@ GENERATORS = [
     (2, re.compile(r"(?<![0-9])[0-9](?:[ ./_-]{0,2}[0-9]){12,18}(?![0-9])")),
     (3, re.compile(r"(?<![0-9A-Za-z])[(+]{0,2}[0-9](?:[ ()./-]{0,3}[0-9]){6,14}(?![0-9A-Za-z])")),
 ]
+# What any base span or generator's form holds, and so what a text without any span lacks. Letters apart, all
+# of it is a digit, a sign, or "at" in brackets; any character may stand where the forms allow a space.
+HOPEFUL = r"(?s)[0-9@]| at |[\[({].?at.?[\])}]"
 # Words that speak for a kind when they stand ahead of a candidate, and words that speak against all.
 HINTS = {
     "email": ("mail", "contact", "write", "reach"),
@@ -260,7 +263,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Trees | None:
     order = F.xxhash64(text, F.lit("pii"))
     some = docs.select(text.alias("text"), order.alias("o")).where(text.isNotNull())
     some = some.where(F.pmod("o", F.lit(1 << 30)) < int(min(1.0, TEXTS / max(n, 1)) * (1 << 30)) + 1)
-    some = some.where(F.col("text").rlike("[0-9@]"))
+    some = some.where(F.col("text").rlike(HOPEFUL))
 
     def run(batches):
         for batch in batches:
@@ -336,7 +339,7 @@ def spans_of(text: str, model: Trees | None) -> tuple[list, list]:
 
 def _searched(texts: pa.Array, model):
     """Spans of each text; most texts hold no digit and no sign, and are told apart at once."""
-    hopeful = np.asarray(pc.match_substring_regex(texts, "[0-9@]| at |\\(at\\)|\\[at\\]"))
+    hopeful = np.asarray(pc.match_substring_regex(texts, HOPEFUL))
     for text, hope in zip(texts.to_pylist(), hopeful.tolist()):
         yield spans_of(text, model) if hope else ([], [])
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,3 +260,17 @@ def test_nothing_to_learn_or_to_search(spark):
     assert [r["spans"] for r in pii.find(docs.orderBy("doc_id"), model).collect()] == ["", "email:0:11"]
     assert pii.fit(docs.limit(0)) is None and pii.find(docs.limit(0), None).count() == 0
     assert pii.redacted("x a@b.c y", [(0, 2, 7), (3, 4, 7)]) == "x [EMAIL] y"
+
+
+def test_no_text_with_a_candidate_is_passed_over():
+    rng = random.Random(8)
+    middle = ["at", "@", "(", ")", "[", "]", "{", "}", " ", "\t", "\u00a0", "\u3000", "dot", "."]
+    texts = ["joe{at}example.com", "joe(\tat)example.com", "joe [ at ] example dot com", "joe @ example.com", "joe{ at }example.com"]
+    assert all(pii.candidates(t, []) for t in texts)
+    for _ in range(30_000):
+        here = "".join(rng.choices(middle, k=rng.randint(1, 6)))
+        texts.append(rng.choice(["joe", "1.2", "+"]) + here + rng.choice(["example.com", "b dot c", "9"]))
+    hopeful = pc.match_substring_regex(pa.array(texts), pii.HOPEFUL).to_pylist()
+    found = [bool(pii.candidates(t, []) or pii.base_spans(t)) for t in texts]
+    assert sum(found) > 100 and not all(hopeful)
+    assert [t for t, f, h in zip(texts, found, hopeful) if f and not h] == []
