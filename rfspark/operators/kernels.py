@@ -46,8 +46,11 @@ class JitterReport:
     def _accept(self, n, b, size):
         return (n if n < 0 else n + 1, max(b * self.decay, size))
 
-    def close_gap(self, size: float):
-        self.pieces = [(lo, *self._accept(n, b, size)) for lo, n, b in self.pieces]
+    def close_gaps(self, count: int, top: float):
+        """So many rows below the lower bound; ``top`` is their own decayed maximum behind the last."""
+        if count:
+            fade = self.decay**count
+            self.pieces = [(lo, n if n < 0 else n + count, max(b * fade, top)) for lo, n, b in self.pieces]
 
     def open_gap(self, size: float):
         need, out = size / self.margin, []
@@ -93,19 +96,61 @@ def judge(jitter: float, gap: float, low: float, high: float, margin: float, dec
     return ("drop" if gap > 0 else "backward"), jitter
 
 
+def between_open(size, low, high, decay: float):
+    """The rows between the bounds, and what the rows below them do ahead of each and behind the last.
+
+    Decay and maximum are associative, so a stretch of rows below the lower bound
+    is its length and its own decayed maximum. Rows above both bounds do nothing.
+    """
+    closed, opened = size <= low, np.flatnonzero((size > low) & (size <= high))
+    ends = np.append(np.cumsum(closed)[opened], closed.sum())
+    starts = np.append(0, ends[:-1])
+    count, top = ends - starts, np.zeros(len(ends))
+    some = count > 0
+    if some.any():
+        behind = np.repeat(ends, count) - 1 - np.arange(ends[-1])
+        top[some] = np.maximum.reduceat(size[closed] * decay**behind, starts[some])
+    return closed, opened, count, top
+
+
+def accepted(jitter: float, size, low, high, margin: float, decay: float):
+    """Which rows a block accepts from a jitter on: a step of the loop for each row between the bounds only.
+
+    A stretch is decayed by a power, one row at a time by products; where the
+    two could fall on different sides of a limit, the block is gone through row by row.
+    """
+    closed, opened, count, top = between_open(size, low, high, decay)
+    fades, ok, state = (decay**count).tolist(), closed.copy(), jitter
+    for at, s, fade, ahead in zip(opened.tolist(), size[opened].tolist(), fades, top.tolist()):
+        state = max(state * fade, ahead)
+        limit = margin * state
+        if abs(s - limit) <= 1e-9 * s:
+            break
+        if s <= limit:
+            ok[at], state = True, max(state * decay, s)
+    else:
+        return ok
+    for at in np.flatnonzero(size <= np.maximum(low, high)).tolist():
+        kind, jitter = judge(jitter, size[at], low[at], high[at], margin, decay)
+        ok[at] = kind == "continuous"
+    return ok
+
+
 def judge_with_jitter(rows: DataFrame, margin: float, decay: float) -> DataFrame:
     """Add ``gap_class`` to rows holding ``gap, __low, __high`` and their block."""
 
+    def bounds(table):
+        return (table.column(n).cast(pa.float64(), safe=False).to_numpy() for n in ("gap", "__low", "__high"))
+
     def report(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq")
-        r = JitterReport(margin, decay)
-        for gap, low, high in zip(_doubles(table, "gap"), _doubles(table, "__low"), _doubles(table, "__high")):
-            if gap is None:
-                continue
-            if abs(gap) <= low:
-                r.close_gap(abs(gap))
-            elif abs(gap) <= high:
-                r.open_gap(abs(gap))
+        gap, low, high = bounds(table)
+        size, r = np.abs(gap), JitterReport(margin, decay)
+        _, opened, count, top = between_open(size, low, high, decay)
+        for s, n, ahead in zip(size[opened].tolist(), count.tolist(), top.tolist()):
+            r.close_gaps(n, ahead)
+            r.open_gap(s)
+        r.close_gaps(int(count[-1]), float(top[-1]))
         starts, ns, bs = zip(*r.pieces)
         return pa.table(
             {
@@ -127,13 +172,10 @@ def judge_with_jitter(rows: DataFrame, margin: float, decay: float) -> DataFrame
 
     def settle(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq")
-        jitter, out = table.column("__came")[0].as_py(), []
-        for gap, low, high in zip(_doubles(table, "gap"), _doubles(table, "__low"), _doubles(table, "__high")):
-            if gap is None:
-                out.append("first")
-                continue
-            kind, jitter = judge(jitter, gap, low, high, margin, decay)
-            out.append(kind)
+        gap, low, high = bounds(table)
+        ok = accepted(table.column("__came")[0].as_py(), np.abs(gap), low, high, margin, decay)
+        first = table.column("gap").is_null().to_numpy()
+        out = np.select([first, ok, gap > 0], ["first", "continuous", "drop"], "backward")
         return table.drop_columns(["__came"]).append_column("gap_class", pa.array(out, pa.string()))
 
     lean = rows.select(*KEYS, "seq", "gap", "__low", "__high")

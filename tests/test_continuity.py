@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rfspark.operators import continuity as ct
+from rfspark.operators import continuity as ct, kernels
 
 SCHEMA = (
     "stream_id long, connection_id long, seq long, payload string, start_time double, end_time double, "
@@ -217,3 +218,40 @@ def test_runs_cover_all_samples(spark):
         at[r.stream_id] = r.first_sample + r.n_samples
     want = {r[0]: r[1] for r in df.filter("payload = 'iq'").groupBy("stream_id").agg(F.sum("samples")).collect()}
     assert at == want
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_jitter_by_stretches_is_the_jitter_row_by_row(seed):
+    """Sizes in whole steps, so that many lie on a limit; bounds that move; nulls; every cut into blocks."""
+    rng = np.random.default_rng(seed)
+    n, margin, decay = 400, 4.0, (0.5, 0.995)[seed % 2]
+    size = rng.integers(0, 40, n).astype(float) * rng.choice([0, 1, 4, 0.25], n)
+    size[rng.random(n) < 0.03] = np.nan
+    low = rng.choice([1.0, 3.0, 0.5], n)
+    high = low * rng.choice([1, 20, np.inf], n)
+
+    def loop(jitter, part):
+        ok = []
+        for s, lo, hi in zip(size[part], low[part], high[part]):
+            kind = "first"
+            if not np.isnan(s):
+                kind, jitter = kernels.judge(jitter, s, lo, hi, margin, decay)
+            ok.append(kind == "continuous")
+        return ok, jitter
+
+    for jitter in (0.0, 1.0, 7.5, 1e4):
+        got = kernels.accepted(jitter, size, low, high, margin, decay)
+        assert got.tolist() == loop(jitter, slice(None))[0]
+    for step in (1, 7, 64, n):
+        jitter = true = 0.0
+        for at in range(0, n, step):
+            part = slice(at, at + step)
+            r = kernels.JitterReport(margin, decay)
+            _, opened, count, top = kernels.between_open(size[part], low[part], high[part], decay)
+            for s, c, ahead in zip(size[part][opened].tolist(), count.tolist(), top.tolist()):
+                r.close_gaps(c, ahead)
+                r.open_gap(s)
+            r.close_gaps(int(count[-1]), float(top[-1]))
+            true = loop(true, part)[1]
+            jitter = kernels.leave(jitter, *zip(*r.pieces), decay)
+            assert jitter == pytest.approx(true, rel=1e-9)
