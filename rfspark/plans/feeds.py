@@ -96,7 +96,7 @@ def live_packets(spark, sf):
     return received(spark, sf, "packets", packet_slices)
 
 
-# The number of an event in hex, four digits to a pair, is the payload.
+# The last four digits of an event's number in hex are each pair of the payload.
 @query(
     "s4_stream_dumps",
     """SELECT user_id % 16 AS stream_id, event_id AS event, n AS samples, CAST(ascii(substr(h, 1, 1)) + 256 * ascii(substr(h, 2, 1)) AS BIGINT) AS first_i,
@@ -110,7 +110,7 @@ def stream_dumps(spark, sf):
     text = """concat(CASE WHEN event_type = 'error' THEN '{"startTime":1,{' WHEN event_id % 7 = 0 THEN 'x{y{' ELSE '' END,
       '{"startTime":', event_id, ',"endTime":', event_id + 1, ',"startFrequency":1,"endFrequency":2,"samples":', CASE WHEN event_type = 'error' THEN '"none"' ELSE cast(n AS string) END,
       ',"unit":"volt","payload":"iq","minPower":0,"maxPower":0,"sampleSize":2}',
-      CASE event_id % 3 WHEN 0 THEN '\\n\\u001e' WHEN 1 THEN '\\u001e' ELSE '\\n' END, repeat(right(lpad(hex(event_id), 4, '0'), 4), n))"""
+      CASE event_id % 3 WHEN 0 THEN '\\n\\u001e' WHEN 1 THEN '\\u001e' ELSE '\\n' END, repeat(right(lpad(hex(event_id), 16, '0'), 4), n))"""
     e = table(spark, sf, "events").withColumn("n", F.round("value").cast("int") % 40 + 1)
     rows = e.select((F.col("user_id") % 16).alias("stream_id"), "event_id", F.expr(text).alias("value"))
     rows = rows.repartition("stream_id").sortWithinPartitions("stream_id", "event_id")
