@@ -47,15 +47,18 @@ def traces(spark, sf):
     return t.select("window", "bin", fixed(F.col("average"), 2).alias("average"), "maxhold", "minhold")
 
 
+# Levels are averaged as whole hundredths: a sum of doubles depends on its order, and an average
+# that lies halfway between two steps then falls to either side.
 @query(
     "p1_trace_of_frames",
-    f"""WITH {FRAME} SELECT stream_id, seq // 50 AS "window", CAST(bin AS INTEGER) AS bin, {fx("avg(level_db)", 4)} AS average,
-  max(level_db) AS maxhold, min(level_db) AS minhold FROM frame GROUP BY 1, 2, 3""",
+    f"""WITH {FRAME}, w AS (SELECT *, CAST(round(level_db * 100) AS BIGINT) AS level FROM frame) SELECT stream_id, seq // 50 AS "window", CAST(bin AS INTEGER) AS bin,
+  {fx("avg(level)", 2)} AS average, max(level_db) AS maxhold, min(level_db) AS minhold FROM w GROUP BY 1, 2, 3""",
 )
 def frame_traces(spark, sf):
     rows = explode_bins(frames(spark, sf).withColumn("frame", F.col("seq")))
-    t = sp.trace(rows, 50)
-    return t.select("stream_id", "window", "bin", fixed(F.col("average"), 4).alias("average"), "maxhold", "minhold")
+    t = sp.trace(rows.withColumn("level_db", F.round(F.col("level_db") * 100).cast("long")), 50)
+    hold = [(F.col(n) / 100).alias(n) for n in ("maxhold", "minhold")]
+    return t.select("stream_id", "window", "bin", fixed(F.col("average"), 2).alias("average"), *hold)
 
 
 @query(

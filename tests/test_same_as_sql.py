@@ -45,3 +45,18 @@ def test_dumps_of_events_past_four_hex_digits(spark, tmp_path):
     folder = changed(tmp_path, "events", "SELECT * REPLACE (event_id + 65500 AS event_id) FROM t")
     got, want = both(spark, "s4_stream_dumps", folder)
     assert got == want
+
+
+def test_averages_that_lie_between_two_steps(spark, tmp_path):
+    """Eight frames of hundredths: their average can end in a half of the last digit."""
+    sql = """SELECT vec_id, [CAST(((vec_id * 37 + k * 101 + vec_id * k * 13) % 9973 - 5000) / 10000.0 AS FLOAT) FOR k IN range(64)] AS embedding, CAST(vec_id % 50 // 8 AS INTEGER) AS label
+FROM (SELECT unnest(range(2000)) AS vec_id)"""
+    folder = changed(tmp_path, "embeddings", sql)
+    got, want = both(spark, "p1_trace_of_frames", folder)
+    assert got == want
+    # The rule in whole numbers.
+    levels = duckdb.sql(f"""WITH w AS (SELECT label AS s, vec_id // 50 AS w, k AS bin, CAST(floor(embedding[k+1]::DOUBLE * 10000 + 0.5) AS BIGINT) AS v
+  FROM '{folder}/embeddings.parquet', (SELECT unnest(range(64)) AS k)) SELECT s, w, bin, sum(v), count(*) FROM w GROUP BY 1, 2, 3""").fetchall()
+    exact = {(s, w, b): (200 * int(v) + n) // (2 * n) for s, w, b, v, n in levels}
+    shown = {(r.stream_id, r.window, r.bin): r.average for r in registry.queries()["p1_trace_of_frames"](spark, folder).collect()}
+    assert shown == exact and any((200 * int(v)) % (2 * n) == n for *_, v, n in levels)
