@@ -60,3 +60,35 @@ FROM (SELECT unnest(range(2000)) AS vec_id)"""
     exact = {(s, w, b): (200 * int(v) + n) // (2 * n) for s, w, b, v, n in levels}
     shown = {(r.stream_id, r.window, r.bin): r.average for r in registry.queries()["p1_trace_of_frames"](spark, folder).collect()}
     assert shown == exact and any((200 * int(v)) % (2 * n) == n for *_, v, n in levels)
+
+
+def test_lags_in_whole_units_do_not_depend_on_order(spark):
+    from pyspark.sql import functions as F
+
+    from rfspark.operators import blocks as bl
+    from rfspark.plans.blocks import LAG_UNIT, _lag_pairs
+
+    pairs = _lag_pairs(spark, SF)
+    sums = []
+    for df in (pairs.coalesce(1), pairs.repartition(5, F.xxhash64("ai"))):
+        rows = bl.correlate(df, 8, LAG_UNIT).groupBy("pair", "lag").agg(F.sum("re"), F.sum("im"))
+        sums.append(sorted(tuple(r) for r in rows.collect()))
+    assert sums[0] == sums[1] and isinstance(sums[0][0][2], int)
+    near = {(r.pair, r.lag): (r.re, r.im) for r in bl.correlate(pairs, 8).groupBy("pair", "lag").agg(F.sum("re").alias("re"), F.sum("im").alias("im")).collect()}
+    assert all(abs(re * LAG_UNIT - near[p, d][0]) < 1e-5 and abs(im * LAG_UNIT - near[p, d][1]) < 1e-5 for p, d, re, im in sums[0])
+
+
+def test_of_equal_lags_the_shortest_and_lower_is_taken(spark, tmp_path):
+    """One loud sample at either end of a block: lag 0 alone is strongest; silence has every lag equal."""
+    sql = "SELECT vec_id, [CAST(0 AS FLOAT) FOR k IN range(64)] AS embedding, label FROM t"
+    got, want = both(spark, "r8_best_lag", changed(tmp_path, "embeddings", sql))
+    assert got == want and all(row[0] == 0 for row in got)
+    rows = [(1, d, 3 if abs(d) == 2 else 0, 0) for d in range(-4, 5)]
+    from rfspark.operators import blocks as bl
+
+    assert bl.best_lag(spark.createDataFrame(rows, "pair long, lag int, re long, im long")).first().lag == -2
+
+
+def test_best_lag_equals_its_sql(spark):
+    got, want = both(spark, "r8_best_lag", SF)
+    assert got == want
