@@ -92,3 +92,13 @@ def test_of_equal_lags_the_shortest_and_lower_is_taken(spark, tmp_path):
 def test_best_lag_equals_its_sql(spark):
     got, want = both(spark, "r8_best_lag", SF)
     assert got == want
+
+
+@pytest.mark.parametrize("sql", [
+    "SELECT * REPLACE (o_orderkey - 700 AS o_orderkey, o_custkey % 20 AS o_custkey) FROM t",
+    "SELECT * REPLACE (o_custkey % 20 AS o_custkey) FROM t UNION ALL SELECT * REPLACE (o_custkey % 20 AS o_custkey) FROM t WHERE o_orderkey % 3 = 0",
+    "SELECT * REPLACE (nullif(o_orderkey, 40) AS o_orderkey, nullif(o_custkey % 20, 3) AS o_custkey) FROM t",
+], ids=["keys to and below zero", "orders listed twice", "no key"])
+def test_links_over_odd_orders(spark, tmp_path, sql):
+    got, want = both(spark, "m9_follow_links", changed(tmp_path, "orders", sql))
+    assert got == want and len(got) == len(set(got))
