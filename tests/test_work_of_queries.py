@@ -24,3 +24,16 @@ def test_readings_of_a_snapshot_need_no_shuffle_and_equal_those_of_its_rows(spar
     whole, rows = (hl.capabilities(c, h) for c, h in zip(configs, health))
     assert text(whole) == text(rows)
     assert "Aggregate" not in plan(whole)
+
+
+def test_blocks_bounds_move_no_samples(spark):
+    from rfspark.operators import blocks as bl
+    from rfspark.plans import registry
+
+    rows = [("s", 1, 0, k * 37, 37, [float(k)] * 37, [0.0] * 37) for k in range(9)]
+    df = spark.createDataFrame(rows, "stream_id string, epoch_id long, epoch_first long, first_sample long, n int, i array<float>, q array<float>")
+    bounds = ["stream_id", "epoch_id", "block", "first_sample", "n"]
+    whole, lean = bl.reblock(df, 64), bl.reblock(df.drop("i", "q"), 64, arrays=())
+    assert sorted(whole.select(bounds).collect()) == sorted(lean.select(bounds).collect())
+    assert whole.schema["n"].dataType == lean.schema["n"].dataType
+    assert "collect_list" not in plan(registry.queries()["r3_reblock_packets"](spark, SF))
