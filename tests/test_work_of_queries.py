@@ -37,3 +37,19 @@ def test_blocks_bounds_move_no_samples(spark):
     assert sorted(whole.select(bounds).collect()) == sorted(lean.select(bounds).collect())
     assert whole.schema["n"].dataType == lean.schema["n"].dataType
     assert "collect_list" not in plan(registry.queries()["r3_reblock_packets"](spark, SF))
+
+
+def test_overlaps_list_each_packet_once_where_it_begins(spark):
+    import random
+
+    from rfspark.operators import blocks as bl
+
+    rng = random.Random(5)
+    made = lambda n: [(k, k % 2, s, s + rng.choice([0, 1, 7, 40, -3])) for k in range(n) for s in [rng.randrange(200)]]
+    left, right = made(120), made(130)
+    want = sorted((a[0], b[0], min(a[3], b[3]) - max(a[2], b[2]), b[2] - a[2]) for a in left for b in right if a[1] == b[1] and a[2] < b[3] and b[2] < a[3])
+    a, b = (spark.createDataFrame(rows, "key long, pair int, start_time long, end_time long") for rows in (left, right))
+    for salts in (1, 3):
+        out = bl.overlap_join(a, b, 10, on=["pair"], salts=salts)
+        assert sorted(map(tuple, out.select("a_key", "b_key", "overlap", "offset").collect())) == want
+        assert "BroadcastHashJoin" not in plan(out)
