@@ -33,9 +33,9 @@ def run(df, spark, purpose, rocks=False):
     return spark.read.schema(df.schema).parquet(driven(df, spark, purpose, rocks))
 
 
-def driven(df, spark, purpose, rocks=False):
-    """Drive a stream over everything that has landed; the folder of its output."""
-    folder = shared_folder(spark, purpose)
+def driven(df, spark, purpose, rocks=False, folder=None):
+    """Drive a stream over everything that has landed; the folder of its output. In the ``folder`` of an earlier run it goes on."""
+    folder = folder or shared_folder(spark, purpose)
     wanted = {}
     if rocks:
         rocksdb = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -63,17 +63,26 @@ def landed(spark, sf, name, slices):
     if key not in _landed:
         folder = shared_folder(spark, f"landing-{name}")
         for part in slices(spark, sf):
-            spread = part.repartition("stream_id").sortWithinPartitions("stream_id", "seq")
-            spread.write.mode("append").parquet(folder)
+            land(part, folder)
         rows = spark.read.parquet(folder).count()
         _landed[key] = (folder, part.schema, rows)
     return _landed[key]
 
 
-def received(spark, sf, name, slices, triggers=3):
-    """The landing folder as a stream of about so many bounded micro-batches."""
+# Packets of one micro-batch where each stream is taken in its own order, whatever the others have sent.
+BATCH_ROWS = 1 << 20
+
+
+def land(part, folder):
+    spread = part.repartition("stream_id").sortWithinPartitions("stream_id", "seq")
+    spread.write.mode("append").parquet(folder)
+
+
+def received(spark, sf, name, slices, triggers=3, most=None):
+    """The landing folder as a stream of about so many micro-batches, or of ``most`` rows each if that is less."""
     folder, schema, rows = landed(spark, sf, name, slices)
-    return feed.read_packet_stream(spark, folder, schema, rows_per_trigger=rows // triggers + 1)
+    admitted = rows // triggers + 1
+    return feed.read_packet_stream(spark, folder, schema, rows_per_trigger=min(admitted, most or admitted))
 
 
 def thirds(df, order="seq"):
@@ -92,8 +101,8 @@ def packet_slices(spark, sf):
     return [*thirds(p), feed.closing(p)]
 
 
-def live_packets(spark, sf):
-    return received(spark, sf, "packets", packet_slices)
+def live_packets(spark, sf, most=None):
+    return received(spark, sf, "packets", packet_slices, most=most)
 
 
 # The last four digits of an event's number in hex are each pair of the payload.
@@ -158,7 +167,7 @@ SELECT stream_id, at_sample, 0 AS place, 'gap' AS kind, -1.0::DOUBLE AS center_h
 UNION ALL SELECT stream_id, at_sample, 1, change, center_hz::DOUBLE, rate_hz::DOUBLE, seq FROM tuned WHERE change IS NOT NULL""",
 )
 def continuity_stream(spark, sf):
-    b = run(live.continuity_stream(live_packets(spark, sf), cap_s=None, ticks=1e6, stall_s=None), spark, "breaks", rocks=True)
+    b = run(live.continuity_stream(live_packets(spark, sf, BATCH_ROWS), cap_s=None, ticks=1e6, stall_s=None), spark, "breaks", rocks=True)
     b = b.filter("kind <> 'closed'").drop("at", "tuned_hz")
     return b.withColumns({c: F.coalesce(c, F.lit(-1.0)) for c in ("center_hz", "rate_hz")})
 
@@ -201,12 +210,15 @@ top AS (SELECT stream_id, max(seq) AS top FROM s WHERE held = 0 GROUP BY 1)
 SELECT s.stream_id, count(*) AS late FROM s JOIN top USING (stream_id) WHERE held = 1 AND seq <= top GROUP BY 1""",
 )
 def late(spark, sf):
-    """Every fifth packet lands a file later than the rest."""
-    slices = lambda s, d: [packets(s, d).filter(f"seq % 5 {x} 0") for x in ("<>", "=")]
-    folder, schema, _ = landed(spark, sf, "late", slices)
-    first = slices(spark, sf)[0].count()
-    source = feed.read_packet_stream(spark, folder, schema, rows_per_trigger=first)
-    b = run(live.continuity_stream(source, cap_s=None, ticks=1e6, stall_s=None), spark, "late", rocks=True)
+    """Every fifth packet lands when the rest has been taken."""
+    landing, folder = shared_folder(spark, "landing-late"), shared_folder(spark, "late")
+    for held in ("<>", "="):
+        part = packets(spark, sf).filter(f"seq % 5 {held} 0")
+        land(part, landing)
+        source = feed.read_packet_stream(spark, landing, part.schema, rows_per_trigger=BATCH_ROWS)
+        found = live.continuity_stream(source, cap_s=None, ticks=1e6, stall_s=None)
+        out = driven(found, spark, "late", rocks=True, folder=folder)
+    b = spark.read.schema(found.schema).parquet(out)
     return b.filter("kind = 'late'").groupBy("stream_id").agg(F.count("*").alias("late"))
 
 
@@ -247,7 +259,7 @@ SELECT stream_id AS device_id, at_sample, kind, seq, blame, coalesce(band, 'none
 )
 def enriched_breaks(spark, sf):
     """Breaks found in the packet feed are a feed themselves; the health feed runs beside it."""
-    source = live.continuity_stream(live_packets(spark, sf), cap_s=None, ticks=1e6, stall_s=None)
+    source = live.continuity_stream(live_packets(spark, sf, BATCH_ROWS), cap_s=None, ticks=1e6, stall_s=None)
     folder = driven(source, spark, "breaks", rocks=True)
     # The marker of a stream carries no start; its feed ends with its last break.
     found = feed.read_packet_stream(spark, folder, source.schema, rows_per_trigger=spark.read.parquet(folder).count() // 2 + 1)

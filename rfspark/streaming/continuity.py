@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -20,6 +21,9 @@ OUTPUT = "stream_id bigint, at_sample bigint, place int, kind string, center_hz
 START = (-1, None, False, False, None, None, 0.0, None, None, 0, False, False, None, None, 0, 0)
 NAMES = [c.split()[0] for c in STATE.split(", ")]
 DAY_MS = 86_400_000
+COLUMNS = ["seq", "connection_id", "payload", "start_time", "end_time", "samples", "center_hz", "rate_hz"]
+PAYLOADS = ["iq", "lost", "closed", "other"]
+STRETCH = 8192  # packets
 
 
 class Timeline:
@@ -107,20 +111,31 @@ class ContinuityProcessor(StatefulProcessor):
         self.state = handle.getValueState("timeline", STATE, self.ttl_ms) if self.ttl_ms else handle.getValueState("timeline", STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values("seq", kind="stable")
         line = Timeline(self.state.get() if self.state.exists() else START, self.cap, self.floor)
-        columns = ["seq", "connection_id", "payload", "start_time", "end_time", "samples", "center_hz", "rate_hz"]
-        for row in zip(*(batch[c].tolist() for c in columns)):
-            seq, conn, payload, start, end, samples, center, rate = row
-            if payload == "closed":
-                start, end, conn, samples, center, rate = (0 if pd.isna(x) else x for x in (start, end, conn, samples, center, rate))
-            line.take(int(seq), int(conn), payload, float(start), float(end), int(samples), float(center), float(rate))
+        # Columns of numbers hold what is to be put in order; packets and breaks are taken in stretches.
+        batch = pd.concat([self.lean(chunk) for chunk in rows], ignore_index=True)
+        order = np.argsort(batch["seq"].to_numpy(), kind="stable")
+        for first in range(0, len(order), STRETCH):
+            part = batch.iloc[order[first : first + STRETCH]]
+            for row in zip(*(part[c].tolist() for c in COLUMNS)):
+                seq, conn, payload, start, end, samples, center, rate = row
+                payload = PAYLOADS[payload]
+                if payload == "closed":
+                    start, end, conn, samples, center, rate = (0 if pd.isna(x) else x for x in (start, end, conn, samples, center, rate))
+                line.take(int(seq), int(conn), payload, float(start), float(end), int(samples), float(center), float(rate))
+            if line.out:
+                yield _frame(key[0], line.out)
+                line.out = []
         self.state.update(line.values())
         if self.stall_ms:
             for timer in self.handle.listTimers():
                 self.handle.deleteTimer(timer)
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.stall_ms)
-        yield _frame(key[0], line.out)
+
+    def lean(self, chunk) -> pd.DataFrame:
+        """A chunk's columns with the payload as a code; all that is no kind of its own is one."""
+        code = chunk["payload"].map({p: k for k, p in enumerate(PAYLOADS)}).fillna(len(PAYLOADS) - 1).astype("int8")
+        return chunk[COLUMNS].assign(payload=code)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """Nothing came for the stall time: the connection is over."""
@@ -145,7 +160,7 @@ def continuity_stream(
 ) -> DataFrame:
     """Breaks of every stream as its packets arrive.
 
-    State is one short row per stream. Packets are ordered inside a micro-batch;
+    State is one short row per stream. Packets are ordered inside a micro-batch, which is held as numbers;
     one that comes after its successors is a ``late`` row. With ``stall_s``, a
     stream that goes quiet gives a ``stall`` row and its next packet is a new
     start. A ``closed`` marker is passed on as a ``closed`` row. ``at`` is the start of

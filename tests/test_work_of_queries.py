@@ -53,3 +53,45 @@ def test_overlaps_list_each_packet_once_where_it_begins(spark):
         out = bl.overlap_join(a, b, 10, on=["pair"], salts=salts)
         assert sorted(map(tuple, out.select("a_key", "b_key", "overlap", "offset").collect())) == want
         assert "BroadcastHashJoin" not in plan(out)
+
+
+class Held:
+    """A state store of one key: what the processors ask of it."""
+
+    value = None
+
+    def getValueState(self, *_):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+
+def test_breaks_leave_in_stretches(monkeypatch):
+    import pandas as pd
+    import pytest
+
+    from rfspark.streaming import continuity as live
+
+    def run(stretch):
+        monkeypatch.setattr(live, "STRETCH", stretch, raising=False)
+        made = live.ContinuityProcessor(float("inf"), 0.0, None, None)
+        made.init(Held())
+        n, kinds = 1000, ["iq", "spectra", "iq", "lost", None]
+        rows = pd.DataFrame({
+            "seq": range(n), "connection_id": [k // 300 for k in range(n)], "payload": [kinds[k % 5] for k in range(n)], "start_time": [k * 2.0 for k in range(n)],
+            "end_time": [k * 2.0 + 1 for k in range(n)], "samples": 5, "center_hz": [float(k // 50) * 100 for k in range(n)], "rate_hz": 1e6,
+        })
+        parts = rows.sample(frac=1, random_state=3)
+        return list(made.handleInputRows((7,), iter([parts[:400], parts[400:]]), None)), made.state.value
+
+    (whole, end), (parts, other) = run(10**6), run(64)
+    assert len(whole) == 1 and len(parts) > 10 and max(map(len, parts)) <= 3 * 64
+    pd.testing.assert_frame_equal(pd.concat(parts, ignore_index=True), whole[0])
+    assert end == other and end[0] == 999
