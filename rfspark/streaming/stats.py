@@ -235,8 +235,12 @@ def decode_stream(packets: DataFrame, scale: float | None = None) -> DataFrame:
 AS_OF = "device_id bigint, us bigint, seq bigint, health_us bigint, losing_nothing boolean, carried string"
 
 
+# A device's time is dealt to so many states, as one would hold all its waiting breaks at once.
+SLOTS = 64
+
+
 class AsOf(StatefulProcessor):
-    """Breaks of one device against the last health reading at or before each of them.
+    """Breaks of one device and slot of time against the last health reading at or before each of them.
 
     A break waits until the watermark has passed it, as a reading may still come,
     or until both feeds of the device have ended. Of the readings only those can
@@ -322,17 +326,26 @@ def with_health(breaks: DataFrame, health: DataFrame, watermark: str, max_age: i
     Two streams with ``device_id, seq, ts, closed``, the second with
     ``losing_nothing``; ``closed`` rows end a feed. A verdict older than
     ``max_age`` microseconds says nothing. Every break comes out once.
+
+    Time is cut into stretches of ``max_age``, dealt to ``SLOTS`` states a device. A reading goes to
+    its own stretch and the next, as far as it speaks; an older one that a
+    break meets there says nothing, as would the ones between them. Markers go to all.
     """
+    stretch = F.floor(F.unix_micros("ts") / max_age)
+    slot = lambda k: F.pmod(k, F.lit(SLOTS)).cast("int")
+    everywhere = F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    own = F.when(F.col("closed"), everywhere).otherwise(F.array(slot(stretch)))
+    spoken = F.when(F.col("closed"), everywhere).otherwise(F.array(slot(stretch), slot(stretch + 1)))
     carried = [F.col(c) for c in breaks.columns if c not in ("ts", "closed")]
     shape = F.struct(*carried)
     shared = ["device_id", "seq", "ts", F.unix_micros("ts").alias("us"), "closed"]
     left = breaks.withWatermark("ts", watermark).select(
-        *shared, F.lit("break").alias("feed"), F.lit(None).cast("boolean").alias("ok"), F.to_json(shape).alias("carried")
+        *shared, F.explode(own).alias("slot"), F.lit("break").alias("feed"), F.lit(None).cast("boolean").alias("ok"), F.to_json(shape).alias("carried")
     )
     right = health.withWatermark("ts", watermark).select(
-        *shared, F.lit("health").alias("feed"), F.col("losing_nothing").alias("ok"), F.lit(None).cast("string").alias("carried")
+        *shared, F.explode(spoken).alias("slot"), F.lit("health").alias("feed"), F.col("losing_nothing").alias("ok"), F.lit(None).cast("string").alias("carried")
     )
-    found = left.unionByName(right).groupBy("device_id").transformWithStateInPandas(
+    found = left.unionByName(right).groupBy("device_id", "slot").transformWithStateInPandas(
         statefulProcessor=AsOf(), outputStructType=AS_OF, outputMode="append", timeMode="EventTime"
     )
     row = F.from_json("carried", breaks.select(*carried).schema)

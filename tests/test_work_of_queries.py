@@ -95,3 +95,32 @@ def test_breaks_leave_in_stretches(monkeypatch):
     assert len(whole) == 1 and len(parts) > 10 and max(map(len, parts)) <= 3 * 64
     pd.testing.assert_frame_equal(pd.concat(parts, ignore_index=True), whole[0])
     assert end == other and end[0] == 999
+
+
+def test_waiting_breaks_of_a_device_are_many_states(spark, tmp_path):
+    import random
+
+    from rfspark.plans.feeds import run
+    from rfspark.sources import feed
+    from rfspark.streaming import stats
+
+    rng, age = random.Random(8), 100 * 10**6
+    made = lambda n: [(rng.randint(1, 2), k, rng.randrange(9000 * 10**6), False) for k in range(n)]
+    b, h = made(400), [(*r, rng.choice([True, False, None])) for r in made(120)]
+    types = "device_id bigint, seq bigint, us bigint, closed boolean"
+    ends = [(d, 10**6, None, True) for d in (1, 2)]
+    sides = []
+    for name, rows, more in (("b", b + ends, ""), ("h", h + [(*e, None) for e in ends], ", losing_nothing boolean")):
+        df = spark.createDataFrame(rows, types + more).withColumn("ts", F.timestamp_micros("us")).drop("us")
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        sides.append(feed.read_packet_stream(spark, str(tmp_path / name), df.schema, rows_per_trigger=1000))
+    rows = stats.with_health(*sides, "3 hours", age)
+    got = {(r.device_id, r.seq): r.blame for r in run(rows, spark, "as-of", rocks=True).collect()}
+
+    def blame(device, us):
+        known = [(r[2], -r[1], r[4]) for r in h if r[0] == device and r[2] <= us]
+        last = max(known, key=lambda k: k[:2], default=None)
+        return "unknown" if last is None or last[2] is None or us >= last[0] + age else "downstream" if last[2] else "device"
+
+    assert got == {(d, seq): blame(d, us) for d, seq, us, _ in b} and len(set(got.values())) == 3
+    assert "slot" in rows._jdf.queryExecution().analyzed().toString()
