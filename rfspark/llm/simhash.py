@@ -12,13 +12,18 @@ candidates to be expected, from exact counts of the fingerprint's own value and
 estimates for its neighbours. It then probes every value within t_i bits, and
 candidates are verified by their full distance inside the join.
 
-With a similarity asked for, fingerprints come first, as they join most near
-copies cheaply, but they decide nothing: a pair at the limit of the similarity
-often differs in more than ``k`` bits. What they leave apart is found by a prefix
-search, which is exact. Sets of shingles are put in one order, frequent shingles
+With a similarity asked for, fingerprints only propose pairs: neighbours in
+tables sorted by partition. They decide nothing, as a pair at the limit of the
+similarity often differs in more than ``k`` bits. What they leave apart is found by
+a prefix search, which is exact. Sets of shingles are put in one order, frequent shingles
 last; two sets at the similarity or above share a shingle among the first
 ``size - ceil(similarity * size) + 1`` of both. Only how frequent shingles are is
-taken from a sample, and any order would find the same links.
+taken from a sample, and any order would find the same links. First all nodes
+under a shingle meet one of them, so that a crowd becomes one component and not
+all its pairs; then pairs between components are tried. A set has an odd sketch
+(the parity of its shingles in 512 cells; a large one has another of 4096). Two sketches differ in at most as many
+bits as there are shingles in one set only, so most pairs fall without their texts,
+and of the texts only those of pairs that are left are exchanged.
 
 Equal fingerprints are one node, so copies never become pairs; a fingerprint has
 a bounded number of neighbours within ``k`` bits whatever the number of rows.
@@ -39,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rfspark.llm.common import cut, stretches, tidied
+from rfspark.llm.common import cut, mix64, stretches, tidied, words_of
 from rfspark.llm.graph import components
 
 SEED = 42
@@ -66,35 +71,73 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def _set_name(hashes: np.ndarray) -> int:
+def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
+    """The set of shingles of each text, as sorted hashes of 64 bits; the words are hashed once, then summed up by place."""
+    codes, words, starts = words_of(texts)
+    word = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words.to_pylist()], np.uint64)[codes]
+    factors = mix64(np.arange(1, width + 2, dtype=np.uint64)) | np.uint64(1)
+    sums = np.zeros(len(word), np.uint64)
+    for j in range(min(width, len(word))):
+        sums[: len(word) - j] += word[j:] * factors[j]
+    sums = mix64(sums)
+    out = []
+    for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if 0 < hi - lo < width:
+            whole = (word[lo:hi] * factors[: hi - lo]).sum(dtype=np.uint64, keepdims=True) + factors[width:] * np.uint64(hi - lo)
+            out.append(mix64(whole))
+        else:
+            out.append(np.unique(sums[lo : max(lo, hi - width + 1)]))
+    return out
+
+
+def _set_name(shingles: np.ndarray) -> int:
     """One value for a set of shingles."""
-    return xxhash.xxh64_intdigest(np.unique(hashes).tobytes(), SEED)
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64))
 
 
-def fingerprints(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", votes: int = 5, width: int | None = None
-) -> DataFrame:
-    """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long.
+def odd_sketch(shingles: np.ndarray, power: int = 9) -> np.ndarray:
+    """The parity of the number of shingles in each of ``2**power`` cells, as longs."""
+    odd = np.bincount((shingles >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-    Shingles of ``votes`` words vote. With ``width``, each votes once however
-    often it occurs, and ``node`` names the set of shingles of ``width`` words;
-    else ``node`` is the fingerprint.
-    """
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
+    """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long, and ``node`` too."""
 
     def run(batches):
         for batch in (p for b in batches for p in stretches(b, 1, TEXT_BYTES)):
-            fps, nodes = [], []
-            for text in batch.column(1).to_pylist():
-                hashes = shingle_hashes(text, votes)
-                fps.append(fingerprint(np.unique(hashes) if width else hashes))
-                nodes.append(_set_name(shingle_hashes(text, width)) if width else fps[-1])
-            made = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (fps, nodes)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node"])
+            fps = np.array([fingerprint(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()], np.uint64)
+            made = pa.array(fps.view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), made, made], ["id", "fp", "node"])
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     return rows.mapInArrow(tidied(run), "id long, fp long, node long")
 
 
+SKETCH = [f"s{i}" for i in range(8)]
+LONG = 640  # shingles from which a set has a sketch of 4096 cells, too
+
+
+def _sets(docs: DataFrame, width: int, votes: int) -> DataFrame:
+    """``id, fp, node, size`` and a sketch for every row; ``node`` names the set of shingles of ``width`` words.
+
+    The fingerprint is of the set of shingles of ``votes`` words.
+    """
+
+    def run(batches):
+        for batch in (p for b in batches for p in stretches(b, 1, TEXT_BYTES)):
+            sets = shingle_sets(batch.column(1), width)
+            fps = np.array([fingerprint(x) for x in shingle_sets(batch.column(1), votes)], np.uint64).view(np.int64)
+            sketches = np.array([odd_sketch(x) for x in sets]).T
+            made = [fps, np.array([_set_name(x) for x in sets], np.int64), np.array([len(x) for x in sets], np.int32), *sketches]
+            made = [pa.array(np.ascontiguousarray(x)) for x in made]
+            made.append(pa.array([odd_sketch(x, 12) if len(x) >= LONG else None for x in sets], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node", "size", *SKETCH, "cells"])
+
+    schema = "id long, fp long, node long, size int, " + ", ".join(f"{x} long" for x in SKETCH) + ", cells array<long>"
+    return docs.mapInArrow(tidied(run), schema)
+
+
 def grouped_bits(sample: np.ndarray, m: int) -> list[list[int]]:
     """64 bits in ``m`` groups of near-equal size; a bit joins the group it correlates with most."""
     bits = np.unpackbits(sample.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)[:, ::-1].astype(np.float64)
@@ -189,6 +232,12 @@ def _partitions(sample: np.ndarray, n: int, k: int) -> list[list[int]]:
     return best[1]
 
 
+def _grouped(nodes: DataFrame, n: int, k: int) -> list[list[int]]:
+    kept = F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(n, 1)) * (1 << 30)) + 1
+    sample = [r[0] for r in nodes.where(kept).select("fp").limit(SAMPLE).collect()]
+    return _partitions(np.array(sample, np.int64).view(np.uint64), n, k)
+
+
 def _index(nodes: DataFrame, groups) -> DataFrame:
     m = len(groups)
 
@@ -242,20 +291,16 @@ def _probes(counts: DataFrame, groups, n: int, k: int) -> DataFrame:
     return counts.mapInArrow(tidied(probed), "part int, value long, q long, q_fp long")
 
 
-def linked(nodes: DataFrame, k: int, verify=None) -> DataFrame:
+def linked(nodes: DataFrame, k: int) -> DataFrame:
     """``node, component`` for nodes (``node, fp``; ``node`` distinct) with a link of at most ``k`` bits.
 
     A crowded value is not paired out. First every probe meets only the smallest
     node under the value it probes, which joins a crowd of near copies through
     its hub. Then only values that still hold nodes of different components are
-    searched, and only for pairs between components. ``verify`` may narrow a
-    table ``a, b`` of candidates to the links that hold.
+    searched, and only for pairs between components.
     """
-    verify = verify or (lambda pairs: pairs)
     n = nodes.count()
-    kept = F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(1 << 30)) < int(min(1.0, SAMPLE / max(n, 1)) * (1 << 30)) + 1
-    sample = [r[0] for r in nodes.where(kept).select("fp").limit(SAMPLE).collect()]
-    groups = _partitions(np.array(sample, np.int64).view(np.uint64), n, k)
+    groups = _grouped(nodes, n, k)
     m = len(groups)
 
     index = cut(_index(nodes, groups), "simhash")
@@ -268,7 +313,7 @@ def linked(nodes: DataFrame, k: int, verify=None) -> DataFrame:
 
     near = F.bit_count(F.col("q_fp").bitwiseXOR(F.col("hub.fp"))) <= k
     hubs = probes.where((F.col("q") != F.col("hub.node")) & near)
-    hubs = cut(verify(_pairs(hubs.select(F.col("q").alias("a"), F.col("hub.node").alias("b")))), "simhash")
+    hubs = cut(_pairs(hubs.select(F.col("q").alias("a"), F.col("hub.node").alias("b"))), "simhash")
     joined = cut(components(hubs), "simhash")
 
     def named(df, column):
@@ -291,7 +336,7 @@ def linked(nodes: DataFrame, k: int, verify=None) -> DataFrame:
         & (F.col("q") < F.col("node"))
         & (F.bit_count(F.col("q_fp").bitwiseXOR(F.col("fp"))) <= k),
     )
-    rest = verify(_pairs(met.select(F.col("q").alias("a"), F.col("node").alias("b"))))
+    rest = _pairs(met.select(F.col("q").alias("a"), F.col("node").alias("b")))
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(stars.unionByName(rest))
 
@@ -303,39 +348,79 @@ def _pairs(df: DataFrame) -> DataFrame:
 TEXT_BYTES = 4 << 20  # bytes of text taken out of a batch at a time
 
 
-def _alike(docs: DataFrame, nodes: DataFrame, width: int, similarity: float):
-    """Narrows pairs of nodes to those whose shingle sets have at least this Jaccard similarity."""
+SLOTS = 1 << 26  # bits at most of the table of ids whose texts are asked for
+
+
+def _asked(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of slots, and a bit for each that an id of ``ids`` falls on."""
+    slots = 1 << 15
+    while slots < min(SLOTS, 16 * ids.count()):
+        slots *= 2
+    at = ids.select(_slot("id", slots).alias("slot"))
+    found = at.groupBy(F.expr("slot div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(slot % 32768)").alias("bits")).toArrow()
+    bits = np.zeros((slots >> 15, 4096), np.uint8)
+    for block, held in zip(found["block"].to_pylist(), found["bits"].to_pylist()):
+        bits[block] = np.frombuffer(held, np.uint8)
+    return slots, bits.ravel()
+
 
-    def check(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "simhash")
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = nodes.join(ends, "node").select(F.col("least").alias("want"), F.col("node").alias("want_node"))
+def _slot(column: str, slots: int):
+    return F.pmod(F.xxhash64(column), F.lit(slots))
 
-        def own(batches):
-            for batch in batches:
-                texts, want = batch.column(1).to_pylist(), batch.column(0).to_pylist()
-                held = [np.uint64(_set_name(shingle_hashes(t, width))).astype(np.int64) == w for t, w in zip(texts, want)]
-                yield batch.filter(pa.array(held, pa.bool_()))
 
-        texts = docs.join(wanted, docs["id"].eqNullSafe(wanted["want"])).select(F.col("want_node").alias("node"), "text")
-        texts = cut(texts.mapInArrow(tidied(own), "node long, text string").dropDuplicates(["node"]), "simhash")
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+def _near(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sizes and sketches allow the similarity."""
+    for end in "ab":
+        own = nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("size", *SKETCH, "cells")])
+        pairs = pairs.join(own, end)
+    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH[1:]), F.bit_count(F.expr("a_s0 ^ b_s0")))
+    cells = F.zip_with("a_cells", "b_cells", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.greatest(differ, F.aggregate(cells, F.lit(0), lambda x, y: x + y))  # which passes a null over
+    few = differ * (1 + similarity) <= (F.col("a_size") + F.col("b_size")) * (1 - similarity) + 1e-6
+    sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6
+    return pairs.where(sizes & few).select("a", "b")
+
+
+def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of some pairs of nodes whose shingle sets have at least this Jaccard similarity."""
+    pairs = cut(_near(pairs, nodes, similarity), "simhash")
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    slots, bits = _asked(nodes.join(ends, "node", "left_semi").select(F.col("least").alias("id")))
+    asked = docs.sparkSession.sparkContext.broadcast(bits)
+
+    def own(batches):
+        for batch in batches:
+            slot = np.asarray(batch.column(0))
+            held = asked.value[slot >> 3] >> (slot & 7).astype(np.uint8) & 1
+            for part in stretches(batch.filter(pa.array(held.astype(bool))), 1, TEXT_BYTES):
+                sets = shingle_sets(part.column(1), width)
+                made = [pa.array([_set_name(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, ["node", "shingles"])
+
+    sets = docs.select(_slot("id", slots).alias("slot"), "text").mapInArrow(tidied(own), "node long, shingles binary")
+    sets = cut(sets.join(ends, "node", "left_semi").dropDuplicates(["node"]), "simhash")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b")
+
+    def alike(batches):
+        for batch in batches:
+            held = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                a, b = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                shared = len(np.intersect1d(a, b, assume_unique=True))
+                held.append(shared >= similarity * (len(a) + len(b) - shared))
+            yield batch.select([0, 1]).filter(pa.array(held, pa.bool_()))
 
-        def alike(batches):
-            for part in (p for batch in batches for p in stretches(batch, 2, TEXT_BYTES)):
-                held, last = [], (None, None)
-                for x, y, hub in zip(part.column(2), part.column(3), part.column(1).to_pylist()):
-                    if last[0] != hub:
-                        last = (hub, np.unique(shingle_hashes(y.as_py(), width)))
-                    a, b = np.unique(shingle_hashes(x.as_py(), width)), last[1]
-                    shared = len(np.intersect1d(a, b, assume_unique=True))
-                    held.append(shared >= similarity * (len(a) + len(b) - shared))
-                yield part.select([0, 1]).filter(pa.array(held, pa.bool_()))
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(tidied(alike), "a long, b long")
 
-        return both.select("a", "b", "text_a", "text_b").mapInArrow(tidied(alike), "a long, b long")
 
-    return check
+def _neighbours(nodes: DataFrame, k: int) -> DataFrame:
+    """``a, b``: nodes next to each other under a value of a partition, in order of their fingerprints, within ``k`` bits."""
+    index = _index(nodes, _grouped(nodes, nodes.count(), k))
+    order = Window.partitionBy("part", "value").orderBy("fp", "node")
+    index = index.select("node", "fp", F.lag("node").over(order).alias("next"), F.lag("fp").over(order).alias("next_fp"))
+    index = index.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("next_fp"))) <= k)
+    return index.select(F.col("node").alias("a"), F.col("next").alias("b"))
 
 
 def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -346,7 +431,7 @@ def _frequent(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
     def shingles(batches):
         for batch in batches:
-            found = [np.unique(shingle_hashes(t, width)) for t in batch.column(0).to_pylist()]
+            found = [x for part in stretches(batch, 0, TEXT_BYTES) for x in shingle_sets(part.column(0), width)]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], ["key"])
 
@@ -368,63 +453,67 @@ def prefix(shingles: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], simila
     return shingles[np.lexsort((shingles, n))][: size - math.ceil(similarity * size - 1e-9) + 1]
 
 
-def _prefix_pairs(docs: DataFrame, joined: DataFrame, width: int, similarity: float) -> DataFrame:
-    """``a, b, a_c, b_c``: pairs of nodes of different components, ``joined``, that can have the similarity."""
+def _prefixes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """``key, node, size, place, hub``: the prefixes' shingles that several nodes have; ``hub`` is one of those nodes."""
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, width))
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                columns = [[], [], [], []]
-                for text in batch.column(0).slice(at, 256).to_pylist():
-                    shingles = np.unique(shingle_hashes(text, width))
-                    if not len(shingles):
-                        continue
-                    first = prefix(shingles, frequent.value, similarity)
-                    node = np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64)
-                    for column, x in zip(columns, (first.view(np.int64), np.full(len(first), node))):
-                        column.append(x)
-                    columns[2].append(np.full(len(first), len(shingles), np.int32))
-                    columns[3].append(np.arange(len(first), dtype=np.int32))
-                if columns[0]:
-                    made = [pa.array(np.concatenate(x)) for x in columns]
-                    yield pa.RecordBatch.from_arrays(made, ["key", "node", "size", "place"])
+        for part in (p for batch in batches for p in stretches(batch, 0, TEXT_BYTES)):
+            columns = [[], [], [], []]
+            for shingles in shingle_sets(part.column(0), width):
+                if not len(shingles):
+                    continue
+                first = prefix(shingles, frequent.value, similarity)
+                columns[0].append(first.view(np.int64))
+                columns[1].append(np.full(len(first), _set_name(shingles), np.int64))
+                columns[2].append(np.full(len(first), len(shingles), np.int32))
+                columns[3].append(np.arange(len(first), dtype=np.int32))
+            if columns[0]:
+                made = [pa.array(np.concatenate(x)) for x in columns]
+                yield pa.RecordBatch.from_arrays(made, ["key", "node", "size", "place"])
 
     rows = docs.select("text").mapInArrow(tidied(run), "key long, node long, size int, place int")
     # Nearly all shingles are of one node only; one exchange drops them.
     whole = Window.partitionBy("key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))
-    rows = cut(rows.where("lo <> hi").drop("lo", "hi").distinct(), "simhash")
-    known = joined.select("node", F.col("component").alias("c"))
-    rows = cut(rows.join(known, "node", "left").withColumn("c", F.coalesce("c", "node")), "simhash")
-    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
-    rows = cut(rows.join(cut(mixed.select("key"), "simhash"), "key", "left_semi"), "simhash")
-    x, y = (rows.select("key", *[F.col(n).alias(f"{side}_{n}") for n in ("node", "size", "place", "c")]) for side in "ab")
-    # Of the pair's common shingles the first has all others behind it in both sets.
-    most = F.least(F.col("a_size") - F.col("a_place"), F.col("b_size") - F.col("b_place"))
-    enough = most * (1 + similarity) >= (F.col("a_size") + F.col("b_size")) * similarity - 1e-6
-    met = x.join(y, "key").where((F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c")) & enough)
-    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_c", "b_c").distinct()
+    rows = rows.withColumn("hub", F.min(F.struct("node", "size", "place")).over(whole)).withColumn("hi", F.max("node").over(whole))
+    return rows.where("hub.node <> hi").drop("hi").distinct()
+
+
+def _enough(a: str, b: str, similarity: float):
+    """Whether two sets can have the similarity, if a shingle at these places is the first that they share."""
+    sizes = F.col(f"{a}size") + F.col(f"{b}size")
+    most = F.least(F.col(f"{a}size") - F.col(f"{a}place"), F.col(f"{b}size") - F.col(f"{b}place"))
+    return most * (1 + similarity) >= sizes * similarity - 1e-6
+
+
+def _named(df: DataFrame, joined: DataFrame, column: str, c: str) -> DataFrame:
+    """``df`` with the component of a node as ``c``."""
+    known = joined.select(F.col("node").alias(column), F.col("component").alias(c))
+    return df.join(known, column, "left").withColumn(c, F.coalesce(c, column))
 
 
-def _completed(docs: DataFrame, joined: DataFrame, verify, width: int, similarity: float) -> DataFrame:
-    """The components of ``joined`` with all links of the similarity that are between them."""
-    pairs = cut(_prefix_pairs(docs, joined, width, similarity), "simhash")
-    if pairs.isEmpty():
-        return joined
+def _between(rows: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: nodes of different components of ``joined`` with a shingle that allows the similarity in both prefixes."""
+    rows = cut(_named(rows.drop("hub"), joined, "node", "c"), "simhash")
+    mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    rows = cut(rows.join(mixed, "key", "left_semi"), "simhash")
+    x, y = (rows.select("key", *[F.col(n).alias(f"{side}_{n}") for n in ("node", "size", "place", "c")]) for side in "ab")
+    # Of the pair's common shingles the first has all others behind it in both sets.
+    apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
+    met = x.join(y, "key").where(apart & _enough("a_", "b_", similarity))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
+
+
+def _linked_sets(docs: DataFrame, nodes: DataFrame, width: int, similarity: float, k: int) -> DataFrame:
+    """``node, component`` for nodes with a link of the similarity."""
+    rows = cut(_prefixes(docs, width, similarity), "simhash")
+    hubs = rows.where((F.col("node") != F.col("hub.node")) & _enough("", "hub.", similarity))
+    hubs = hubs.select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
+    tried = cut(_pairs(hubs.unionByName(_neighbours(nodes, k))), "simhash")
+    joined = cut(components(_alike(docs, nodes, tried, width, similarity)), "simhash")
+    rest = _between(rows, joined, similarity).join(tried, ["a", "b"], "left_anti")
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    # First a node meets one node of each other component, so that a crowd is not paired out.
-    ends = pairs.select("a", "b_c", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a_c").alias("b_c"), F.col("a").alias("b")))
-    tried = cut(_pairs(ends.groupBy("a", "b_c").agg(F.min("b").alias("b")).select("a", "b")), "simhash")
-    joined = cut(components(stars.unionByName(verify(tried))), "simhash")
-    rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
-    for end in "ab":
-        known = joined.select(F.col("node").alias(end), F.col("component").alias(f"{end}_c"))
-        rest = rest.join(known, end, "left").withColumn(f"{end}_c", F.coalesce(f"{end}_c", end))
-    rest = cut(rest.where("a_c <> b_c").select("a", "b"), "simhash")
-    if rest.isEmpty():
-        return joined
-    return components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(rest)))
+    return components(stars.unionByName(_alike(docs, nodes, rest, width, similarity)))
 
 
 def near_groups(
@@ -439,21 +528,18 @@ def near_groups(
     """``id, fp, component`` for every row; ``component`` is the smallest id reachable by links.
 
     With ``similarity``, texts link when their sets of shingles of ``width`` words
-    have at least that Jaccard similarity. Pairs whose fingerprints, of sets of
+    have at least that Jaccard similarity. Neighbours whose fingerprints, of sets of
     shingles of ``votes`` words, differ in at most ``k`` bits are tried first; the
     result does not depend on ``votes`` and ``k``. Without it, texts link when
     fingerprints of shingles of ``width`` words, repeats included, differ in at
     most ``k`` bits.
     """
-    as_sets = similarity is not None
-    rows = fingerprints(docs, id_col, text_col, votes if as_sets else width, width if as_sets else None)
-    rows = cut(rows, "simhash")
-    nodes = cut(rows.groupBy("node", "fp").agg(F.min("id").alias("least")), "simhash")
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    verify = _alike(texts, nodes, width, similarity) if as_sets else None
-    joined = linked(nodes.select("node", "fp"), k, verify)
-    if as_sets:
-        joined = _completed(texts, cut(joined, "simhash"), verify, width, similarity)
+    as_sets = similarity is not None
+    rows = cut(_sets(texts, width, votes) if as_sets else fingerprints(docs, id_col, text_col, width), "simhash")
+    of_node = [F.first(c).alias(c) for c in ("size", *SKETCH, "cells")] if as_sets else []
+    nodes = cut(rows.groupBy("node", "fp").agg(F.min("id").alias("least"), *of_node), "simhash")
+    joined = _linked_sets(texts, nodes, width, similarity, k) if as_sets else linked(nodes.select("node", "fp"), k)
     named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
     named = cut(named.select("node", "root", "least"), "simhash")
     smallest = cut(named.groupBy("root").agg(F.min("least").alias("component")), "simhash")

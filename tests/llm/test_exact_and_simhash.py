@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -203,3 +204,54 @@ def test_any_order_of_shingles_leaves_a_common_one_in_both_prefixes():
         if len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b)):
             firsts = (simhash.prefix(x, frequent, 0.8) for x in (a, b))
             assert len(np.intersect1d(*firsts))
+
+
+def test_sets_of_a_batch_are_the_plain_ones():
+    """Words are hashed once a batch; sets are equal, and as large, as those of whole shingles."""
+    rng = random.Random(2)
+    texts = ["", None, "one", "One two", "one two ", "two one", "a b c d e", "a b c d", " x\x0by\tz\n"]
+    texts += [" ".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(200)]
+    for width in (2, 5):
+        plain = [frozenset(simhash.shingle_hashes(t, width).tolist()) for t in texts]
+        sets = [frozenset(x.tolist()) for x in simhash.shingle_sets(pa.array(texts), width)]
+        assert [len(x) for x in sets] == [len(x) for x in plain]
+        assert all((sets[i] == sets[j]) == (plain[i] == plain[j]) for i, j in itertools.combinations(range(len(texts)), 2))
+
+
+@pytest.mark.parametrize("power", [9, 12])
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles(power):
+    rng = np.random.default_rng(power)
+    for _ in range(200):
+        a, b = (rng.integers(0, 2**64, int(rng.integers(0, 900)), dtype=np.uint64) for _ in "ab")
+        both = rng.integers(0, 2**64, 300, dtype=np.uint64)
+        a, b = np.unique(np.append(a, both)), np.unique(np.append(b, both))
+        differ = np.bitwise_count((simhash.odd_sketch(a, power) ^ simhash.odd_sketch(b, power)).view(np.uint64)).sum()
+        assert differ <= len(np.setxor1d(a, b))
+
+
+def test_a_crowd_is_not_paired_out_and_no_texts_but_the_asked_are_exchanged(spark, monkeypatch):
+    """Near copies of one text meet one of them; texts like no other are not among those whose shingles are exchanged."""
+    rng, tables = random.Random(9), {}
+    base, rows = words(rng, 300), []
+    for i in range(120):
+        # Words far apart are changed, so that fingerprints differ; any two stay above the similarity.
+        w = list(base)
+        w[2 * i + 20], w[290 - i // 2] = f"changed{i}", f"other{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(words(rng, 900))) for i in range(60)]
+    # Over the size from which sets have a finer sketch; a link at 0.81 and none at 0.78.
+    long = words(rng, 2000)
+    rows += [(2000, " ".join(long)), (2001, " ".join(long + words(rng, 460))), (2002, " ".join(words(rng, 560) + long))]
+    real = simhash.cut
+
+    def cut(df, purpose):
+        out = real(df, purpose)
+        tables.setdefault(",".join(df.columns), []).append(out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "cut", cut)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in simhash.near_groups(docs).collect()}
+    assert got == {i: 0 if i < 120 else 2000 if i == 2001 else i for i, _ in rows}
+    # All pairs of the crowd are 7140.
+    assert max(tables["a,b"]) < 1000 and max(tables["node,shingles"]) <= 123
