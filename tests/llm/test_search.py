@@ -179,3 +179,20 @@ def test_pairs_across_lists_are_found_when_the_sample_holds_none(spark, monkeypa
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(both.tolist())], "vec_id long, embedding array<double>, label int")
     got = {r["id"]: r["n_links"] for r in product_quantisation.near_groups(df).collect()}
     assert got == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+
+
+def test_distances_to_coded_vectors_are_the_sums_of_the_parts():
+    rng = np.random.default_rng(4)
+    x = product_quantisation._unit(rng.normal(size=(400, 18)))
+    index = product_quantisation.fit(x, 4096)
+    own = index.lists(x, 1)[:, 0]
+    of = int(np.bincount(own).argmax())
+    codes, error = index.code(x[own == of], own[own == of])
+    coded = index.decoded(codes, of)
+    assert np.abs(np.sqrt(((x[own == of] - coded) ** 2).sum(axis=1)) - error).max() < 1e-12
+    far = product_quantisation.distances(x, coded)
+    for q, row in zip(x[:20], far):
+        rest = q - index.centres[of]
+        for code, got in zip(codes, row):
+            parts = [((rest[a:b] - book[c]) ** 2).sum() for a, b, book, c in zip(index.cuts, index.cuts[1:], index.books, code)]
+            assert abs(sum(parts) - got) < 1e-12
