@@ -34,8 +34,11 @@ from rfspark.llm.common import remembered, stretches, tidied, words_of
 
 END_ID = 1
 BLOCK = 4096  # documents in a block, about
-TEXT_BYTES = 12 << 20
+TEXT_BYTES = 4 << 20
 KNOWN = 200_000  # words whose ids a worker remembers
+SEEN = 1 << 22  # slots of the table of words that were new once
+AT_ONCE = 1 << 17  # words whose ids are laid out together
+CODED = 8  # chunks of 2000 words that are with the tokenizer together
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, block long{ids}"
 
 
@@ -61,8 +64,10 @@ class WordIds:
         vocab = self.model.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
-        # Words seen twice or more in one batch, and where their ids lie.
+        # Words seen twice or more, and where their ids lie. By hash, words that were new before:
+        # two words on one slot only mean that one is remembered early.
         self.known: dict[bytes, int] = {}
+        self.seen = np.zeros(SEEN, bool)
         self.held = np.zeros(0, np.uint32)
         self.first, self.size = np.zeros(KNOWN, np.int64), np.zeros(KNOWN, np.int64)
 
@@ -75,19 +80,22 @@ class WordIds:
         words = words.to_pylist()
         at = np.flatnonzero(plain)
         chunks = [at[i : i + 2000] for i in range(0, len(at), 2000)]
-        coded = self.model.encode_batch_fast([" ".join([words[i] for i in c]) for c in chunks], add_special_tokens=False)
         ids, sizes, order = [], [], []
-        for chunk, c in zip(chunks, coded):
-            own = np.array(c.ids, np.uint32)
-            last = np.flatnonzero(self.ends[own])[np.cumsum(runs[chunk]) - 1] + 1
-            ids.append(own)
-            sizes.append(np.diff(last, prepend=0))
-            order.append(chunk)
+        # The tokenizer's own rows are many times the ids that are kept of them, so a few are held at a time.
+        for few in (chunks[i : i + CODED] for i in range(0, len(chunks), CODED)):
+            coded = self.model.encode_batch_fast([" ".join([words[i] for i in c]) for c in few], add_special_tokens=False)
+            for chunk, c in zip(few, coded):
+                own = np.array(c.ids, np.uint32)
+                last = np.flatnonzero(self.ends[own])[np.cumsum(runs[chunk]) - 1] + 1
+                ids.append(own)
+                sizes.append(np.diff(last, prepend=0))
+                order.append(chunk)
         odd = np.flatnonzero(~plain)
-        for i, c in zip(odd, self.model.encode_batch_fast([words[i] for i in odd], add_special_tokens=False)):
-            ids.append(np.array(c.ids, np.uint32))
-            sizes.append(np.array([len(c.ids)]))
-            order.append(np.array([i]))
+        for few in (odd[i : i + 2000] for i in range(0, len(odd), 2000)):
+            for i, c in zip(few, self.model.encode_batch_fast([words[i] for i in few], add_special_tokens=False)):
+                ids.append(np.array(c.ids, np.uint32))
+                sizes.append(np.array([len(c.ids)]))
+                order.append(np.array([i]))
         flat, size, order = (np.concatenate(x) for x in (ids, sizes, order))
         first = np.cumsum(size) - size
         back = np.argsort(order)
@@ -109,16 +117,29 @@ class WordIds:
             at = np.cumsum(counts) - counts
             size[new], first[new] = counts, len(flat) + at
             flat = np.concatenate([flat, made])
-            often = np.flatnonzero(np.bincount(codes, minlength=len(named))[new] > 1)[: KNOWN - len(known)]
+            often = np.flatnonzero(self._again(named, new, codes))[: KNOWN - len(known)]
             if len(often):
                 slots = np.arange(len(known), len(known) + len(often))
                 known.update(zip((named[i] for i in new[often]), slots.tolist()))
                 self.size[slots] = counts[often]
                 self.first[slots] = len(self.held) + np.cumsum(counts[often]) - counts[often]
                 self.held = np.concatenate([self.held, _gathered(made, at[often], counts[often])])
-        lengths = size[codes]
-        ids = _gathered(flat, first[codes], lengths)
-        return ids, np.concatenate([[0], np.cumsum(lengths)])[starts]
+        ends = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(size[codes], out=ends[1:])
+        ids = np.empty(ends[-1], np.uint32)
+        for a in range(0, len(codes), AT_ONCE):
+            some = codes[a : a + AT_ONCE]
+            ids[ends[a] : ends[a + len(some)]] = _gathered(flat, first[some], size[some])
+        return ids, ends[starts]
+
+    def _again(self, named: list[bytes], new: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Which new words come twice in their batch, or were new in one before; all are noted."""
+        again = np.bincount(codes, minlength=len(named))[new] > 1
+        if len(self.known) < KNOWN:
+            slot = np.fromiter((hash(named[i]) for i in new), np.int64, len(new)) & (SEEN - 1)
+            again |= self.seen[slot]
+            self.seen[slot] = True
+        return again
 
 
 _coders: dict[str, WordIds] = remembered.setdefault("packing", {})

@@ -42,6 +42,28 @@ def test_ids_are_the_tokenizers_own():
             assert ids[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids
 
 
+def test_little_is_with_the_tokenizer_at_a_time_and_words_of_two_batches_are_remembered():
+    plain, coder = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    asked = []
+
+    class Watched:
+        def encode_batch_fast(self, texts, **how):
+            asked.append(sum(len(t.split()) for t in texts))
+            return plain.encode_batch_fast(texts, **how)
+
+    coder.model = Watched()
+    words = [f"w{i}x" for i in range(40_000)] + [f"名{i}" for i in range(5000)]
+    text = " ".join(words)
+    for _ in range(2):
+        ids, starts = coder.encode(pa.array([text, None, "the end"]))
+        assert ids[: starts[1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert ids[starts[2] :].tolist() == plain.encode("the end", add_special_tokens=False).ids
+    assert 0 < max(asked) <= 16_000
+    asked.clear()
+    coder.encode(pa.array([text]))
+    assert sum(asked) == 0
+
+
 @pytest.mark.parametrize("limits", [(2048, 256, 2048), (64, 3, 64), (64, 64, 64)])
 def test_no_limit_is_broken_and_every_id_lies_in_one_piece(spark, limits):
     rng = random.Random(2)
