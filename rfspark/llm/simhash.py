@@ -42,7 +42,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rfspark.llm.common import cut, mix64, stretches, tidied, words_of
 from rfspark.llm.graph import components
@@ -51,6 +51,7 @@ SEED = 42
 PROBE = 10.0  # what a probe costs, against a candidate
 SAMPLE = 20_000  # fingerprints at most, for grouping bits; texts about, for what is frequent
 FREQUENT = 500_000  # shingles at most that are put last
+NEXT = (1, 2, 4, 8)  # places back, in a shingle's order, of the nodes that one meets
 
 
 def shingle_hashes(text: str | None, width: int) -> np.ndarray:
@@ -373,12 +374,20 @@ def _near(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     for end in "ab":
         own = nodes.select(F.col("node").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in ("size", *SKETCH, "cells")])
         pairs = pairs.join(own, end)
-    differ = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH[1:]), F.bit_count(F.expr("a_s0 ^ b_s0")))
     cells = F.zip_with("a_cells", "b_cells", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differ = F.greatest(differ, F.aggregate(cells, F.lit(0), lambda x, y: x + y))  # which passes a null over
-    few = differ * (1 + similarity) <= (F.col("a_size") + F.col("b_size")) * (1 - similarity) + 1e-6
+    differ = F.greatest(_differ(), F.aggregate(cells, F.lit(0), lambda x, y: x + y))  # which passes a null over
     sizes = F.least("a_size", "b_size") >= F.greatest("a_size", "b_size") * similarity - 1e-6
-    return pairs.where(sizes & few).select("a", "b")
+    return pairs.where(sizes & _few(differ, similarity)).select("a", "b")
+
+
+def _differ():
+    """Bits in which the smaller sketches of ``a_`` and ``b_`` differ."""
+    return sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH[1:]), F.bit_count(F.expr("a_s0 ^ b_s0")))
+
+
+def _few(differ, similarity: float):
+    """Whether sets that differ in so many shingles at least can have the similarity."""
+    return differ * (1 + similarity) <= (F.col("a_size") + F.col("b_size")) * (1 - similarity) + 1e-6
 
 
 def _alike(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -479,11 +488,15 @@ def _prefixes(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     return rows.where("hub.node <> hi").drop("hi").distinct()
 
 
-def _enough(a: str, b: str, similarity: float):
-    """Whether two sets can have the similarity, if a shingle at these places is the first that they share."""
-    sizes = F.col(f"{a}size") + F.col(f"{b}size")
-    most = F.least(F.col(f"{a}size") - F.col(f"{a}place"), F.col(f"{b}size") - F.col(f"{b}place"))
-    return most * (1 + similarity) >= sizes * similarity - 1e-6
+def _enough(a: str | Column, b: str | Column, similarity: float):
+    """Whether two sets can have the similarity, if a shingle at these places is the first that they share.
+
+    A side is a struct, or what its columns' names begin with.
+    """
+    (a_size, a_place), (b_size, b_place) = (
+        [F.col(f"{x}{n}") if isinstance(x, str) else x[n] for n in ("size", "place")] for x in (a, b)
+    )
+    return F.least(a_size - a_place, b_size - b_place) * (1 + similarity) >= (a_size + b_size) * similarity - 1e-6
 
 
 def _named(df: DataFrame, joined: DataFrame, column: str, c: str) -> DataFrame:
@@ -492,15 +505,36 @@ def _named(df: DataFrame, joined: DataFrame, column: str, c: str) -> DataFrame:
     return df.join(known, column, "left").withColumn(c, F.coalesce(c, column))
 
 
-def _between(rows: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: nodes of different components of ``joined`` with a shingle that allows the similarity in both prefixes."""
+def _mixed(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    """The rows, with components ``c``, under shingles that nodes of several components have."""
     rows = cut(_named(rows.drop("hub"), joined, "node", "c"), "simhash")
     mixed = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    rows = cut(rows.join(mixed, "key", "left_semi"), "simhash")
-    x, y = (rows.select("key", *[F.col(n).alias(f"{side}_{n}") for n in ("node", "size", "place", "c")]) for side in "ab")
+    return cut(rows.join(mixed, "key", "left_semi"), "simhash")
+
+
+def _beside(rows: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: nodes of different components near each other under a shingle, in an order drawn for each shingle.
+
+    Crowds that link densely are joined by a few pairs of each node; no shingle gives more than ``NEXT`` pairs a row.
+    """
+    order = Window.partitionBy("key").orderBy(F.xxhash64("node", "key"), "node")
+    near = F.array(*[F.lag(F.struct("node", "size", "place", "c"), n).over(order) for n in NEXT])
+    apart = lambda x: (x["c"] != F.col("c")) & _enough("", x, similarity)
+    met = _mixed(rows, joined).withColumn("near", near).select("node", F.explode(F.filter("near", apart)).alias("x"))
+    return _pairs(met.select(F.col("node").alias("a"), F.col("x.node").alias("b")))
+
+
+def _between(rows: DataFrame, nodes: DataFrame, joined: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: nodes of different components of ``joined`` with a shingle that allows the similarity in both prefixes.
+
+    Their sketches allow it, too: what they rule out never leaves the join.
+    """
+    rows = cut(_mixed(rows, joined).join(nodes.select("node", *SKETCH), "node"), "simhash")
+    names = ("node", "size", "place", "c", *SKETCH)
+    x, y = (rows.select("key", *[F.col(n).alias(f"{side}_{n}") for n in names]) for side in "ab")
     # Of the pair's common shingles the first has all others behind it in both sets.
     apart = (F.col("a_node") < F.col("b_node")) & (F.col("a_c") != F.col("b_c"))
-    met = x.join(y, "key").where(apart & _enough("a_", "b_", similarity))
+    met = x.join(y, "key").where(apart & _enough("a_", "b_", similarity) & _few(_differ(), similarity))
     return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
 
 
@@ -511,9 +545,12 @@ def _linked_sets(docs: DataFrame, nodes: DataFrame, width: int, similarity: floa
     hubs = hubs.select(F.col("node").alias("a"), F.col("hub.node").alias("b"))
     tried = cut(_pairs(hubs.unionByName(_neighbours(nodes, k))), "simhash")
     joined = cut(components(_alike(docs, nodes, tried, width, similarity)), "simhash")
-    rest = _between(rows, joined, similarity).join(tried, ["a", "b"], "left_anti")
-    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(stars.unionByName(_alike(docs, nodes, rest, width, similarity)))
+    for step in (lambda: _beside(rows, joined, similarity), lambda: _between(rows, nodes, joined, similarity)):
+        asked = cut(step().join(tried, ["a", "b"], "left_anti"), "simhash")
+        stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        joined = cut(components(stars.unionByName(_alike(docs, nodes, asked, width, similarity))), "simhash")
+        tried = tried.unionByName(asked)
+    return joined
 
 
 def near_groups(

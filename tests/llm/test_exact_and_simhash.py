@@ -255,3 +255,36 @@ def test_a_crowd_is_not_paired_out_and_no_texts_but_the_asked_are_exchanged(spar
     assert got == {i: 0 if i < 120 else 2000 if i == 2001 else i for i, _ in rows}
     # All pairs of the crowd are 7140.
     assert max(tables["a,b"]) < 1000 and max(tables["node,shingles"]) <= 123
+
+
+def test_pairs_that_share_rare_shingles_but_little_else_stay_in_the_join(spark, monkeypatch):
+    """Families with a phrase of their own among common sentences: the sketches tell them apart before a pair is listed."""
+    rng = random.Random(8)
+    sentence = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    common, texts = [sentence(8) for _ in range(30)], []
+    for _ in range(8):
+        phrase = sentence(7)
+        texts += [" ".join([phrase, *rng.sample(common, 12)]) for _ in range(10)]
+    for t in texts[::9]:  # and some that do link
+        words = t.split()
+        words[50] = "changed"
+        texts.append(" ".join(words))
+    listed, plain = [], simhash._between
+
+    def counted(*given):
+        pairs = plain(*given)
+        listed.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(simhash, "_between", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["id"]: r["component"] for r in simhash.near_groups(docs, width=5, similarity=0.8).collect()}
+    sets = [set(simhash.shingle_sets(pa.array([t]), 5)[0].tolist()) for t in texts]
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and want[i] != want[j]:
+                lo, hi = sorted((want[i], want[j]))
+                want = [lo if w == hi else w for w in want]
+    assert got == dict(enumerate(want)) and len(set(want)) == 80
+    assert len(listed) == 1 and listed[0] <= 20
