@@ -244,7 +244,7 @@ def _batches(rows, schema: str):
 class ChunkReader(DataSourceReader):
     """Whole files, a group of small ones to a task.
 
-    Filters on ``file`` choose the files to list, filters on ``id`` the kinds whose bodies are read.
+    Filters on ``file`` choose the files to list, filters on ``id`` the kinds whose bodies are read. Spark reads by a ``ChunkScan``.
     """
 
     def __init__(self, options):
@@ -271,6 +271,25 @@ class ChunkReader(DataSourceReader):
         return _batches((row for name in partition.names for row in chunks_of(name, self.kinds)), SCHEMA)
 
 
+class ChunkScan(DataSourceReader):
+    """A ``ChunkReader`` whose files and kinds are chosen by the options ``file`` and ``id`` (JSON lists).
+
+    Spark keeps one reader for all scans of a frame: filters that it pushed into one of
+    them would hold in the others, too. So it is shown none to push.
+    """
+
+    def __init__(self, options):
+        chosen = [(k.lower(), v) for k, v in options.items() if k.lower() in ("file", "id")]
+        self.chunks = ChunkReader(options)
+        list(self.chunks.pushFilters([In((k,), tuple(json.loads(v))) for k, v in chosen]))
+
+    def partitions(self):
+        return self.chunks.partitions()
+
+    def read(self, partition):
+        return self.chunks.read(partition)
+
+
 class ChunkSource(DataSource):
     """``spark.read.format("rf_chunks").load(path)``."""
 
@@ -282,17 +301,24 @@ class ChunkSource(DataSource):
         return SCHEMA
 
     def reader(self, schema):
-        return ChunkReader(self.options)
+        return ChunkScan(self.options)
+
 
+def scan_chunks(
+    spark: SparkSession, path: str, suffix: str = "", split_bytes: int = SPLIT_BYTES, files=None, kinds=None
+) -> DataFrame:
+    """Chunks of all files. A file of more than ``split_bytes`` is read by a task per stretch of that size.
 
-def scan_chunks(spark: SparkSession, path: str, suffix: str = "", split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Chunks of all files. A file of more than ``split_bytes`` is read by a task per stretch of that size."""
+    ``files`` are the only ones that are opened and ``kinds`` the only ones whose bodies are read; None is all.
+    """
     spark.dataSource.register(ChunkSource)
-    # Without this, Spark asks a Python source for everything and filters after.
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    small = spark.read.format("rf_chunks").option("suffix", suffix).option("below", split_bytes).load(path)
-    large = [x for x in listed(path, suffix) if x[1] > split_bytes]
-    return small.unionByName(_scan_stretches(spark, large, split_bytes)) if large else small
+    chosen = {k: json.dumps(sorted(v)) for k, v in (("file", files), ("id", kinds)) if v is not None}
+    small = spark.read.format("rf_chunks").options(suffix=suffix, below=split_bytes, **chosen).load(path)
+    large = [x for x in listed(path, suffix) if x[1] > split_bytes and (files is None or x[0] in files)]
+    if not large:
+        return small
+    rows = _scan_stretches(spark, large, split_bytes)
+    return small.unionByName(rows if kinds is None else rows.filter(F.col("id").isin(*kinds)))
 
 
 STRETCH = "file string, size bigint, start bigint, stop bigint, entry bigint"

@@ -165,3 +165,18 @@ def test_filters_choose_files_and_kinds_before_they_are_read(spark, tmp_path):
         few = sum(1 for _ in ch._chunks_between(Counted(), name, 0, end, end, {"SSTR"}))
         read_few, taken[:] = sum(taken), []
         assert few == sum(1 for _ in ch._chunks_between(Counted(), name, 0, end, end)) and read_few < sum(taken) / 3
+
+
+def test_one_scan_read_under_several_filters(spark, tmp_path):
+    for k in range(3):
+        (tmp_path / f"file-{k}.rf").write_bytes(cp.capture_bytes(k, [[0.5] * 64] * 9))
+    chunks, names = ch.scan_chunks(spark, str(tmp_path), ".rf"), [str(tmp_path / f"file-{k}.rf") for k in range(3)]
+    kinds = chunks.filter("id = 'SAMP'").unionByName(chunks.filter("id = 'SSTR'"))
+    assert sorted(map(tuple, kinds.groupBy("id").count().collect())) == [("SAMP", 27), ("SSTR", 6)]
+    both = chunks.filter(F.col("file") == names[0]).unionByName(chunks.filter(F.col("file") == names[1]))
+    assert sorted(r.file for r in both.select("file").distinct().collect()) == names[:2]
+    assert chunks.filter("id = 'DSFH'").count() == 3 and chunks.select("file").distinct().count() == 3
+    for split in (ch.SPLIT_BYTES, 700):
+        few = ch.scan_chunks(spark, str(tmp_path), ".rf", split, files=names[1:], kinds=["SSTR", "STRM"])
+        want = sorted(map(str, chunks.filter(F.col("file").isin(*names[1:]) & F.col("id").isin("SSTR", "STRM")).collect()))
+        assert len(want) == 6 and sorted(map(str, few.collect())) == want
