@@ -31,7 +31,8 @@ a bounded number of neighbours within ``k`` bits whatever the number of rows.
 A null text is empty. A text with fewer words than a shingle has one shingle,
 the whole sequence; without words the fingerprint is zero, linked like any other.
 Repeated rows share their fingerprint and component. Null ids are never the
-smallest id of a component that has another; a component of null ids has null.
+smallest id of a component that has another; a component of null ids has null, and
+``dedup`` keeps one row of it.
 """
 
 from __future__ import annotations
@@ -102,17 +103,24 @@ def odd_sketch(shingles: np.ndarray, power: int = 9) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5) -> DataFrame:
-    """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long, and ``node`` too."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, copies: bool = False
+) -> DataFrame:
+    """``id, fp, node`` for every row; ``fp`` is the fingerprint's 64 bits as a long, and ``node`` too.
+
+    With ``copies`` also ``copy``, which only rows that repeat both id and text share.
+    """
+    named = ["id", "fp", "node", *(["copy"] if copies else [])]
 
     def run(batches):
         for batch in (p for b in batches for p in stretches(b, 1, TEXT_BYTES)):
             fps = np.array([fingerprint(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()], np.uint64)
             made = pa.array(fps.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), made, made], ["id", "fp", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), made, made, *batch.columns[2:]], named)
 
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    return rows.mapInArrow(tidied(run), "id long, fp long, node long")
+    rows = rows.select("id", "text", _copy("id", "text")) if copies else rows
+    return rows.mapInArrow(tidied(run), ", ".join(f"{c} long" for c in named))
 
 
 SKETCH = [f"s{i}" for i in range(8)]
@@ -120,7 +128,7 @@ LONG = 640  # shingles from which a set has a sketch of 4096 cells, too
 
 
 def _sets(docs: DataFrame, width: int, votes: int) -> DataFrame:
-    """``id, fp, node, size`` and a sketch for every row; ``node`` names the set of shingles of ``width`` words.
+    """``id, copy, fp, node, size`` and a sketch for every row; ``node`` names the set of shingles of ``width`` words.
 
     The fingerprint is of the set of shingles of ``votes`` words.
     """
@@ -133,10 +141,17 @@ def _sets(docs: DataFrame, width: int, votes: int) -> DataFrame:
             made = [fps, np.array([_set_name(x) for x in sets], np.int64), np.array([len(x) for x in sets], np.int32), *sketches]
             made = [pa.array(np.ascontiguousarray(x)) for x in made]
             made.append(pa.array([odd_sketch(x, 12) if len(x) >= LONG else None for x in sets], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["id", "fp", "node", "size", *SKETCH, "cells"])
+            names = ["id", "copy", "fp", "node", "size", *SKETCH, "cells"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *made], names)
+
+    schema = "id long, copy long, fp long, node long, size int, " + ", ".join(f"{x} long" for x in SKETCH) + ", cells array<long>"
+    return docs.select("id", "text", _copy("id", "text")).mapInArrow(tidied(run), schema)
 
-    schema = "id long, fp long, node long, size int, " + ", ".join(f"{x} long" for x in SKETCH) + ", cells array<long>"
-    return docs.mapInArrow(tidied(run), schema)
+
+def _copy(id_col: str, text_col: str) -> Column:
+    """What only rows that repeat both id and text share."""
+    id, text = F.col(id_col).cast("long"), F.col(text_col)
+    return F.xxhash64(id, text, id.isNull(), text.isNull()).alias("copy")
 
 
 def grouped_bits(sample: np.ndarray, m: int) -> list[list[int]]:
@@ -571,25 +586,49 @@ def near_groups(
     fingerprints of shingles of ``width`` words, repeats included, differ in at
     most ``k`` bits.
     """
+    return _rooted(docs, id_col, text_col, width, k, similarity, votes).select("id", "fp", "component")
+
+
+def _rooted(
+    docs: DataFrame, id_col: str, text_col: str, width: int, k: int, similarity: float | None, votes: int, copies: bool = False
+) -> DataFrame:
+    """``near_groups`` with ``root``, which tells components without an id apart, too, and ``copy`` as in ``fingerprints``."""
     texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"))
     as_sets = similarity is not None
-    rows = cut(_sets(texts, width, votes) if as_sets else fingerprints(docs, id_col, text_col, width), "simhash")
+    rows = cut(_sets(texts, width, votes) if as_sets else fingerprints(docs, id_col, text_col, width, copies), "simhash")
     of_node = [F.first(c).alias(c) for c in ("size", *SKETCH, "cells")] if as_sets else []
     nodes = cut(rows.groupBy("node", "fp").agg(F.min("id").alias("least"), *of_node), "simhash")
     joined = _linked_sets(texts, nodes, width, similarity, k) if as_sets else linked(nodes.select("node", "fp"), k)
     named = nodes.join(joined, "node", "left").withColumn("root", F.coalesce("component", "node"))
     named = cut(named.select("node", "root", "least"), "simhash")
     smallest = cut(named.groupBy("root").agg(F.min("least").alias("component")), "simhash")
-    named = cut(named.join(smallest, "root").select("node", "component"), "simhash")
-    return rows.join(named, "node").select("id", "fp", "component")
+    named = cut(named.join(smallest, "root").select("node", "root", "component"), "simhash")
+    return rows.join(named, "node").select("id", *(["copy"] if copies else []), "fp", "root", "component")
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The documents that stay: of each group, the one with the smallest id.
+def dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 5,
+    k: int = 8,
+    similarity: float | None = 0.8,
+    votes: int = 2,
+) -> DataFrame:
+    """The rows that stay: of each group, one with the smallest id; without any id, one.
 
-    Rows that repeat an id that stays, stay with it.
+    An id that stays with one of its texts keeps the texts that fell into groups of
+    smaller ids, too. Rows that repeat both id and text are one.
     """
-    stays = F.col("component").isNull() | F.col("id").eqNullSafe(F.col("component"))
-    dropped = near_groups(docs, id_col, text_col, **how).groupBy("id").agg(F.bool_or(stays).alias("stays"))
-    dropped = dropped.where("not stays").select(F.col("id").alias("__gone"))
-    return docs.join(dropped, F.col(f"`{id_col}`").eqNullSafe(F.col("__gone")), "left_anti")
+    rows = _rooted(docs, id_col, text_col, width, k, similarity, votes, copies=True)
+    rows = cut(rows.groupBy("id", "copy", "root", "component").agg(F.count(F.lit(1)).alias("n")), "simhash")
+    own = F.col("id").eqNullSafe(F.col("component"))
+    first = cut(rows.where(own).groupBy("root").agg(F.min("copy").alias("copy"), F.first("id").alias("stays")), "simhash")
+    others = rows.join(first.select("copy"), "copy", "left_anti")
+    ids = first.select(F.col("stays").alias("id")).where("id is not null").distinct()
+    gone = others.where(own).unionByName(others.where(~own).join(ids, "id", "left_anti")).select(F.col("copy").alias("__copy"))
+    kept = docs.withColumn("__copy", _copy(f"`{id_col}`", f"`{text_col}`")).join(gone, "__copy", "left_anti")
+    if not rows.where("n > 1").isEmpty():
+        nth = F.row_number().over(Window.partitionBy("__copy").orderBy("__copy"))
+        kept = kept.withColumn("__nth", nth).where("__nth = 1")
+    return kept.select([F.col(f"`{c}`") for c in docs.columns])

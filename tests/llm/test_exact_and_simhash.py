@@ -174,6 +174,21 @@ def test_an_id_with_two_texts_is_not_lost_with_one_of_them(spark):
     assert sorted(r["doc_id"] for r in simhash.dedup(docs).collect()) == [1, 2, 2]
 
 
+def test_near_copies_without_an_id_or_with_one_id_are_dropped_too(spark):
+    rng = random.Random(1)
+    first, second, third = (words(rng, 80) for _ in range(3))
+    changed = lambda w: " ".join([*w[:40], "changed", *w[41:]])
+    rows = [(None, " ".join(first)), (None, changed(first)), (None, " ".join(first))]
+    rows += [(7, " ".join(second)), (7, changed(second)), (9, " ".join(third)), (9, " ".join(third)), (None, changed(third))]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, `a.b` int")
+    for how in ({}, {"similarity": None, "k": 2}):
+        left = simhash.dedup(docs.where("doc_id = 9") if how else docs, **how)
+        assert left.columns == docs.columns
+        got = left.collect()
+        assert sorted((r["doc_id"] or 0) for r in got) == ([9] if how else [0, 7, 9])
+        assert all(tuple(r) in [(*x, i) for i, x in enumerate(rows)] for r in got)
+
+
 def test_near_copies_with_added_and_removed_passages_are_all_found(spark):
     rng = random.Random(8)
     common, texts = words(rng, 40), []
