@@ -105,6 +105,9 @@ def live_packets(spark, sf, most=None):
     return received(spark, sf, "packets", packet_slices, most=most)
 
 
+DUMP_ROWS = 1 << 16  # event numbers whose packets of a stream stay in one file
+
+
 # The last four digits of an event's number in hex are each pair of the payload.
 @query(
     "s4_stream_dumps",
@@ -122,7 +125,8 @@ def stream_dumps(spark, sf):
       CASE event_id % 3 WHEN 0 THEN '\\n\\u001e' WHEN 1 THEN '\\u001e' ELSE '\\n' END, repeat(right(lpad(hex(event_id), 16, '0'), 4), n))"""
     e = table(spark, sf, "events").withColumn("n", F.round("value").cast("int") % 40 + 1)
     rows = e.select((F.col("user_id") % 16).alias("stream_id"), "event_id", F.expr(text).alias("value"))
-    rows = rows.repartition("stream_id").sortWithinPartitions("stream_id", "event_id")
+    # A stream is several dumps, each in packet order, so no stream is one task.
+    rows = rows.repartition("stream_id", F.expr(f"event_id div {DUMP_ROWS}")).sortWithinPartitions("stream_id", "event_id")
     rows.drop("event_id").write.partitionBy("stream_id").text(folder)
     scanned = dumps.scan_stream_dumps(spark, folder, "int16", ".txt", split_bytes=1 << 16)
     parsed = hd.parse_headers(scanned.filter("error is null").withColumn("format", F.lit("int16")))

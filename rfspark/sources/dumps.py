@@ -3,14 +3,17 @@
 A packet is a JSON header, a separator (LF RS, RS or LF) and its payload. Framing
 goes through a file in order; a large file is cut into stretches, each framed
 from the first header in it. That gives the same packets unless a payload holds
-a whole valid header of its own right at a cut.
+a whole valid header of its own right at a cut. A task takes several stretches, so
+how fine files are cut does not set the number of tasks.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +28,13 @@ RECORD, LINE = 0x1E, 0x0A
 OPENING = re.compile(rb'\{[ \t\r\n]*["}]')
 READ_BYTES = 1 << 20
 BATCH_BYTES = 32 << 20
+TASK_BYTES = 32 << 20  # in a task, unless one stretch is longer
+TASKS = 64  # among which fewer bytes are shared out
 
 
 @dataclass
 class Stretch(InputPartition):
-    """Headers that begin in ``start..stop`` of a file, or several whole files."""
+    """Headers that begin in ``start..stop`` of a file, for several such stretches."""
 
     parts: list
 
@@ -170,24 +175,27 @@ class DumpReader(DataSourceReader):
         self.split = int(options.get("splitbytes", 1 << 30))
 
     def partitions(self):
-        out, small, size = [], [], 0
-        for name, n in listed(self.path, self.suffix):
-            if n > self.split:
-                out += [Stretch([(name, a, min(n, a + self.split))]) for a in range(0, n, self.split)]
-                continue
-            if small and size + n > self.split:
-                out.append(Stretch(small))
-                small, size = [], 0
-            small.append((name, 0, n))
-            size += n
-        return out + ([Stretch(small)] if small else [])
+        files = listed(self.path, self.suffix)
+        most = min(TASK_BYTES, sum(n for _, n in files) // TASKS)
+        out, held, size = [], [], 0
+        for name, n in files:
+            for start in range(0, n, self.split):
+                stop = min(n, start + self.split)
+                if held and size + stop - start > most:
+                    out.append(Stretch(held))
+                    held, size = [], 0
+                held.append((name, start, stop))
+                size += stop - start
+        return out + ([Stretch(held)] if held else [])
 
     def read(self, partition):
         rows, held = [], 0
-        for name, start, stop in partition.parts:
+        for name, parts in groupby(partition.parts, key=lambda x: x[0]):
             system, inner = filesystem(name)
-            with system.open_input_file(inner) as f:
-                for seq, header, payload, rejected, error in Framer(f, start, stop, self.width).packets():
+            # Stretches end in the middle of what was read; the next one begins in the buffer.
+            with io.BufferedReader(system.open_input_file(inner), 4 * READ_BYTES) as f:
+                framed = (p for _, start, stop in parts for p in Framer(f, start, stop, self.width).packets())
+                for seq, header, payload, rejected, error in framed:
                     rows.append((name, seq, header, payload, rejected, error))
                     held += len(payload) + len(header or "")
                     if held > BATCH_BYTES:

@@ -25,6 +25,22 @@ def packets(spark, tmp_path, data, **how):
     return dumps.scan_stream_dumps(spark, str(tmp_path), "int16", **how).orderBy("seq").collect()
 
 
+def test_fine_stretches_of_dumps_share_tasks_and_none_is_left_out(tmp_path):
+    """One task a stretch took 180 ms each whatever the stretch held."""
+    body = b"".join(header(4) + b"\n" + bytes(16) for _ in range(400))
+    for i in range(3):
+        (tmp_path / f"{i}.dump").write_bytes(body * (i + 1))
+    (tmp_path / "none.dump").write_bytes(b"")
+    reader = dumps.DumpReader({"path": str(tmp_path), "splitbytes": "100", "format": "int16"})
+    parts = reader.partitions()
+    assert len(parts) <= 2 * dumps.TASKS < 6 * len(body) // 100
+    cuts = [x for p in parts for x in p.parts]
+    whole = [(str(tmp_path / f"{i}.dump"), a, min(len(body) * (i + 1), a + 100)) for i in range(3) for a in range(0, len(body) * (i + 1), 100)]
+    assert cuts == whole
+    rows = [(r["file"], r["seq"]) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert len(rows) == len(set(rows)) == 6 * 400
+
+
 def test_names_keep_the_store_they_were_listed_in(tmp_path, monkeypatch):
     (tmp_path / "caps" / "deep").mkdir(parents=True)
     for name in ("caps/a.rf", "caps/deep/b.rf", "caps/_skipped.rf"):
