@@ -55,6 +55,18 @@ def test_overlaps_list_each_packet_once_where_it_begins(spark):
         assert "BroadcastHashJoin" not in plan(out)
 
 
+def test_overlaps_exchange_a_packet_once_for_each_stretch_it_touches(spark):
+    """Each side went through two joins, and under every bucket through one of them."""
+    from rfspark.operators import blocks as bl
+
+    made = lambda n, step: spark.createDataFrame([(k, k * step, k * step + 60) for k in range(n)], "key long, start_time long, end_time long")
+    out = bl.overlap_join(made(200, 7), made(300, 5), 10)
+    assert plan(out).count("SortMergeJoin") == 1 and plan(out).count("Exchange") == 2
+    want = {(i, j) for i in range(200) for j in range(300) if 7 * i < 5 * j + 60 and 5 * j < 7 * i + 60}
+    got = [(r.a_key, r.b_key) for r in out.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 class Held:
     """A state store of one key: what the processors ask of it."""
 
