@@ -196,3 +196,25 @@ def test_distances_to_coded_vectors_are_the_sums_of_the_parts():
         for code, got in zip(codes, row):
             parts = [((rest[a:b] - book[c]) ** 2).sum() for a, b, book, c in zip(index.cuts, index.cuts[1:], index.books, code)]
             assert abs(sum(parts) - got) < 1e-12
+
+
+def test_vectors_are_written_once_whatever_lists_they_visit(spark, monkeypatch, tmp_path):
+    """Spread vectors visit nearly all lists; each was exchanged once for every one of them."""
+    for name, value in {"PER_LIST": 20, "BLOCK": 64, "PAIRS": 50}.items():
+        monkeypatch.setattr(product_quantisation, name, value)
+    monkeypatch.setattr(product_quantisation, "shared_folder", lambda *_: str(tmp_path / "blocks"))
+    x = np.random.default_rng(3).normal(size=(600, 8)).astype(np.float32)
+    x[::7, 0] += 1e-9  # still exact in four bytes
+    df = spark.createDataFrame([(i, v, i % 3) for i, v in enumerate(x.tolist())], "id long, vector array<double>, label int")
+    nodes = product_quantisation.nodes_of(df).localCheckpoint()
+    found = product_quantisation.links(nodes, 0.6)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    least = {r["node"]: r["least"] for r in nodes.collect()}
+    got = [tuple(sorted((least[r["a"]], least[r["b"]]))) for r in found.collect()]
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.6
+    want = {(i, j) for i in range(600) for j in range(i + 3, 600, 3) if near[i, j]}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
+    each, blocks = 24 + 2 + 8 * 4, 3 * (200 // 64 + 1) + 12
+    written = sum(f.stat().st_size for f in (tmp_path / "blocks").iterdir() if not f.name.endswith(".crc"))
+    assert 600 * each < written <= 600 * each + blocks * product_quantisation.PLACE.itemsize
